@@ -1,0 +1,6 @@
+"""Nothing of its own lives here: every input of this toolkit is a finite table.
+
+The row-wise derivations (`functions.dates`, `functions.hexgrid`, the date
+window filter) are plain column expressions, so they also apply to a streaming
+DataFrame.
+"""
