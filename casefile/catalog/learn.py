@@ -108,7 +108,7 @@ FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnfla
 
 def _rows(spark, sf):
     """Line items with a two-class target, the line status."""
-    key = F.concat_ws(":", "l_orderkey", "l_linenumber").alias("row_key")
+    key = F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_key")
     return table(spark, sf, "lineitem").select(key, *FEATURES, "l_linestatus")
 
 

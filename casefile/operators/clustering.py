@@ -274,10 +274,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     for _ in range(MAX_LEVELS):
         offered = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("best"))
         lowered = labels.join(offered, "id", "left").select("id", "label", F.least("label", "best").alias("low"))
-        lowered = durable(lowered)
-        jump = lowered.select(F.col("id").alias("low"), F.col("low").alias("lower"))
-        stepped = lowered.join(jump, "low").select("id", "label", F.col("lower").alias("new"))
-        stepped = durable(stepped)
+        jump = labels.select(F.col("id").alias("low"), F.col("label").alias("lower"))
+        stepped = durable(lowered.join(jump, "low").select("id", "label", F.col("lower").alias("new")))
         changed = stepped.filter(F.col("new") != F.col("label")).limit(1).count()
         labels = stepped.select("id", F.col("new").alias("label"))
         if not changed:

@@ -127,7 +127,7 @@ def seasonal_arima(train: DataFrame, by: Sequence[str], horizon: int) -> DataFra
     tail = recent.groupBy(*groups).agg(
         F.array_sort(F.collect_list(F.struct("pos", "y", F.coalesce("w", F.lit(0.0)).alias("w"), F.coalesce("e", F.lit(0.0)).alias("e")))).alias("tail")
     )
-    state = tail.select(*groups, *[F.transform("tail", lambda r, f=f: r[f]).alias(f) for f in ("y", "w", "e")]).join(beta, list(by))
+    state = tail.select(*groups, *[F.col(f"tail.{f}").alias(f) for f in ("y", "w", "e")]).join(beta, list(by))
 
     @F.pandas_udf("array<double>")
     def ahead(y: pd.Series, w: pd.Series, e: pd.Series, beta: pd.Series) -> pd.Series:

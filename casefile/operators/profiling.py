@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
@@ -54,7 +53,8 @@ def numeric_histograms(df: DataFrame, columns: Sequence[str] | None = None, bins
         bounds = F.array(*[F.lit(v) for v in e])
         down = x < F.get(bounds, rough)
         up = (x >= F.get(bounds, rough + 1)) & (rough < bins - 1)
-        return F.when(down, rough - 1).when(up, rough + 1).otherwise(rough)
+        # least() passes over a null, which would land in the last bin
+        return F.when(x.isNull(), None).when(down, rough - 1).when(up, rough + 1).otherwise(rough)
 
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), bin_of(c).alias("bin")) for c in edges])
     counts = df.select(F.inline(pairs)).filter(F.col("bin").isNotNull()).groupBy("column", "bin").count()
@@ -90,10 +90,15 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     found: list[tuple[str, str, float | None]] = []
     for start in range(0, len(pairs), PAIRS_PER_PASS):
         chunk = pairs[start : start + PAIRS_PER_PASS]
-        row = df.agg(*[F.corr(values[a], values[b]).alias(str(i)) for i, (a, b) in enumerate(chunk)]).first()
+        stats = []
         for i, (a, b) in enumerate(chunk):
-            r = row[str(i)]
-            r = None if r is None or math.isnan(r) else r
+            # corr() itself fails on a constant column in ANSI mode
+            x, y = F.when(values[b].isNotNull(), values[a]), F.when(values[a].isNotNull(), values[b])
+            stats += [F.covar_pop(x, y).alias(f"c{i}"), F.stddev_pop(x).alias(f"x{i}"), F.stddev_pop(y).alias(f"y{i}")]
+        row = df.agg(*stats).first()
+        for i, (a, b) in enumerate(chunk):
+            both = (row[f"x{i}"] or 0.0) * (row[f"y{i}"] or 0.0)
+            r = row[f"c{i}"] / both if both else None
             found += [(a, b, r)] if a == b else [(a, b, r), (b, a, r)]
     rows = [(a, b, "pearson", r) for a, b, r in found]
     return spark.createDataFrame(rows, "a string, b string, measure string, value double")
