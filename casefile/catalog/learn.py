@@ -168,8 +168,8 @@ def k06(spark, sf):
 SMALL_GRIDS = {
     "logreg": {"C": (0.01, 1.0)},
     "rf": {"n_estimators": (10,), "max_depth": (5,)},
-    "hgb": {"n_estimators": (5,), "max_depth": (3,), "min_samples_leaf": (20,)},
-    "xgb": {"n_estimators": (5,), "max_depth": (3,)},
+    "hgb": {"n_estimators": (3,), "max_depth": (2,), "min_samples_leaf": (20,)},
+    "xgb": {"n_estimators": (3,), "max_depth": (2,)},
 }
 
 

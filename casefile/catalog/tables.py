@@ -5,12 +5,8 @@ The column lists are SQL that reads the same on Spark and in the check.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from casefile.session import _ensure_checkpoint_dir
-
 # The moment up to which dates count as plausible in the queries.
 AS_OF = "2001-03-01 00:00:00"
 
@@ -73,9 +69,3 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plane(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first two components of each embedding as (vec_id, vec, label)."""
     return points(spark, sf_dir).selectExpr("vec_id", "slice(vec, 1, 2) AS vec", "label")
-
-
-def scratch(spark: SparkSession) -> str:
-    """A fresh folder beside the session's checkpoints."""
-    _ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"

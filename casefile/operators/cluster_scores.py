@@ -19,6 +19,7 @@ from casefile.session import BROADCAST_ROWS, durable
 # Up to this many points the pairwise Euclidean silhouette is computed; beyond it
 # only the closed form over squared distances is.
 EXACT_SILHOUETTE_ROWS = 20_000
+EXACT_SILHOUETTE_CELLS = 4_000_000
 
 GRID_SCHEMA = """
 embedding string, algorithm string, config string, k int, eps double, min_samples int, embedding_dim int,
@@ -41,14 +42,20 @@ def silhouette_squared(df: DataFrame, vec: str = "vec", cluster: str = "cluster"
     return ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(rows)
 
 
+def _is_small(df: DataFrame, vec: str, rows: int = EXACT_SILHOUETTE_ROWS) -> bool:
+    """Whether a table of vectors may be copied to every task."""
+    head = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.max(F.size(col(vec))).alias("d")).first()
+    return head["n"] <= rows and head["n"] * (head["d"] or 0) <= EXACT_SILHOUETTE_CELLS
+
+
 def silhouette(df: DataFrame, vec: str = "vec", cluster: str = "cluster", exact_rows: int = EXACT_SILHOUETTE_ROWS) -> float:
     """Mean silhouette over Euclidean distances, every pair of points.
 
     The points are shared with all tasks, hence the check of their number.
     """
     rows = df.select(col(vec).cast("array<double>").alias("x"), col(cluster).cast("long").alias("c"))
-    if rows.limit(exact_rows + 1).count() > exact_rows:
-        raise ValueError(f"pairwise silhouette is limited to {exact_rows} points; use silhouette_squared")
+    if not _is_small(rows, "x", exact_rows):
+        raise ValueError("too many points to compare in pairs; use silhouette_squared")
     local = rows.toPandas()
     names, codes = np.unique(local["c"].to_numpy(), return_inverse=True)
     matrix = np.stack(local["x"].to_numpy())
@@ -111,8 +118,8 @@ def calinski_harabasz(moments: DataFrame) -> float | None:
 def davies_bouldin(df: DataFrame, moments: DataFrame, vec: str = "vec", cluster: str = "cluster") -> float | None:
     """Mean over clusters of the worst ratio of spreads to centre distance.
 
-    The centres are compared as one small matrix, shared with the tasks; their number
-    is checked.
+    The centres are shared with all tasks, after a check of their number, and compared
+    cluster by cluster.
     """
     centres = moments.select("cluster", "mean")
     k = centres.count()
@@ -122,18 +129,21 @@ def davies_bouldin(df: DataFrame, moments: DataFrame, vec: str = "vec", cluster:
         raise ValueError(f"{k} clusters are too many to compare their centres")
     rows = df.select(col(vec).cast("array<double>").alias("x"), col(cluster).alias("cluster")).join(F.broadcast(centres), "cluster")
     far = F.sqrt(F.aggregate(F.zip_with("x", "mean", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
-    # centres come along so that the table below is complete in one job
-    table = rows.groupBy("cluster").agg(F.avg(far).alias("s"), F.first("mean").alias("m"))
+    table = durable(rows.groupBy("cluster").agg(F.avg(far).alias("s"), F.first("mean").alias("m")))
     local = table.toPandas()
-    spreads, matrix = local["s"].to_numpy(), np.stack(local["m"].to_numpy())
-    worst = np.zeros(k)
-    for at in range(0, k, 256):
-        d = np.sqrt(((matrix[at : at + 256, None, :] - matrix[None, :, :]) ** 2).sum(axis=2))
-        both = spreads[at : at + 256, None] + spreads[None, :]
-        d[np.arange(len(d)), np.arange(at, at + len(d))] = np.inf
-        ratio = np.divide(both, d, out=np.zeros_like(both), where=d > 0)
-        worst[at : at + 256] = ratio.max(axis=1)
-    return float(worst.mean())
+    shared = df.sparkSession.sparkContext.broadcast((local["cluster"].to_numpy(), local["s"].to_numpy(), np.stack(local["m"].to_numpy())))
+
+    def worst(batches):
+        names, spreads, matrix = shared.value
+        for batch in batches:
+            ratios = []
+            for name, s, m in zip(batch["cluster"], batch["s"], batch["m"]):
+                d = np.sqrt(((matrix - m) ** 2).sum(axis=1))
+                d[names == name] = np.inf
+                ratios.append(np.divide(s + spreads, d, out=np.zeros_like(d), where=d > 0).max())
+            yield pd.DataFrame({"ratio": ratios})
+
+    return table.mapInPandas(worst, "ratio double").agg(F.avg("ratio")).first()[0]
 
 
 def cluster_scores(df: DataFrame, vec: str = "vec", cluster: str = "cluster", noise_as_cluster: bool = True) -> dict:
@@ -149,7 +159,7 @@ def cluster_scores(df: DataFrame, vec: str = "vec", cluster: str = "cluster", no
     out = {**empty, "n_clusters": counts["n_clusters"], "n_noise": counts["n_noise"]}
     if not noise_as_cluster and counts["n_clusters"] < 2:
         return out
-    small = scored.limit(EXACT_SILHOUETTE_ROWS + 1).count() <= EXACT_SILHOUETTE_ROWS
+    small = _is_small(scored, "vec")
     moments = durable(cluster_moments(scored))
     measures = {
         "silhouette": lambda: silhouette(scored) if small else silhouette_squared(scored),

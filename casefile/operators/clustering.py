@@ -65,10 +65,10 @@ def dbscan(df: DataFrame, id_col: str, vec: str, eps: float, min_samples: int =
     core = durable(_core_spots(spots, cells, near, eps, min_samples))
     flags = core.withColumn("core", F.lit(True))
     spots = durable(spots.join(flags, "spot", "left").withColumn("core", F.coalesce("core", F.lit(False))))
-    core_spots = durable(spots.filter("core").select("cell", "spot", "x"))
+    core_spots = spots.filter("core").select("cell", "spot", "x")
     heads = durable(core_spots.groupBy("cell").agg(F.min("spot").alias("head")))
     links = _linked_cells(core_spots, heads, near, side, eps, dims)
-    labels = durable(connected_components(heads.select(F.col("head").alias("id")), links).withColumnRenamed("id", "head"))
+    labels = connected_components(heads.select(F.col("head").alias("id")), links).withColumnRenamed("id", "head")
     cell_label = heads.join(labels, "head").select("cell", "label")
     inside = spots.join(cell_label, "cell").select("spot", "label")
     reached = _reached(spots.filter("not core"), core_spots, cells, near, eps).join(
@@ -78,7 +78,7 @@ def dbscan(df: DataFrame, id_col: str, vec: str, eps: float, min_samples: int =
     numbers = running_totals(
         labels.select(F.col("label").cast("double").alias("at"), F.lit(1).alias("one")).distinct(), "at", ["one"]
     ).select(F.col("at").cast("long").alias("label"), (F.col("cum_one") - 1).cast("int").alias("cluster"))
-    done = durable(spots.select("x", "spot").join(label, "spot", "left").join(numbers, "label", "left").select("x", "cluster"))
+    done = spots.select("x", "spot").join(label, "spot", "left").join(numbers, "label", "left").select("x", "cluster")
     done, _ = broadcast_if_small(done)
     out = points.join(done, "x")
     return out.select(F.col("id").alias(id_col), F.coalesce("cluster", F.lit(-1)).alias("cluster"))
@@ -154,7 +154,6 @@ def _tree_pairs(cells: DataFrame, side: float, eps: float, dims: int) -> DataFra
     for _ in range(MAX_LEVELS):
         placed = durable(cells.withColumn("node", node(widths)))
         boxes = _as_box(placed.groupBy("node").agg(F.count(F.lit(1)).alias("size"), *_corners(dims, "lo", "hi")), dims, "node", "size")
-        boxes = durable(boxes)
         if pending is None:
             pending = boxes.select(F.col("node").alias("a"), F.col("node").alias("b"))
         left = boxes.select(F.col("node").alias("a"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), F.col("size").alias("s1"))
@@ -229,8 +228,8 @@ def _linked_cells(core_spots: DataFrame, heads: DataFrame, near: DataFrame, side
         scale = side / 2**level
         placed = core_spots.withColumn("node", F.transform("x", lambda v: F.floor(v / scale)))
         used = pending.select(F.explode(F.array("na", "nb")).alias("node")).distinct()
-        placed = durable(placed.join(used, "node").select("node", "x"))
-        boxes = durable(_as_box(placed.groupBy("node").agg(F.count(F.lit(1)).alias("size"), *_corners(dims)), dims, "node", "size"))
+        placed = placed.join(used, "node").select("node", "x")
+        boxes = _as_box(placed.groupBy("node").agg(F.count(F.lit(1)).alias("size"), *_corners(dims)), dims, "node", "size")
         left = boxes.select(F.col("node").alias("na"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), F.col("size").alias("s1"))
         right = boxes.select(F.col("node").alias("nb"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("size").alias("s2"))
         gap2 = _gap2(F.col("lo1"), F.col("hi1"), F.col("lo2"), F.col("hi2"))
@@ -252,9 +251,8 @@ def _linked_cells(core_spots: DataFrame, heads: DataFrame, near: DataFrame, side
         wide = doubt.filter(~few).join(part, ["a", "b"], "left_anti").select("a", "b", "na", "nb")
         wide = durable(wide)
         if wide.isEmpty():
-            return durable(found.distinct())
+            return found.distinct()
         children = placed.select("node", F.transform("x", lambda v: F.floor(v / (scale / 2))).alias("child")).distinct()
-        children = durable(children)
         grown = wide.join(children.select(F.col("node").alias("na"), F.col("child").alias("ca")), "na")
         grown = grown.join(children.select(F.col("node").alias("nb"), F.col("child").alias("cb")), "nb")
         pending = durable(grown.select("a", "b", F.col("ca").alias("na"), F.col("cb").alias("nb")))

@@ -57,15 +57,9 @@ def rank_by_hash(df: DataFrame, groups: Sequence[str], key, seed: int, name: str
     return hashed.join(offsets, on).withColumn(name, F.col("_before") + inside).select(*[col(c) for c in df.columns], name)
 
 
-def mark_quota(
-    df: DataFrame, groups: Sequence[str], quotas: DataFrame, key, seed: int, name: str = "picked"
-) -> DataFrame:
-    """Flag the first `quota` rows of each group in hash order.
-
-    `quotas` holds one row per group with a column `quota`. Whole slices below the
-    quota are in, whole slices above it are out; only the one slice in which the
-    quota falls is sorted, so a filter on the flag moves few rows.
-    """
+def _with_cut(df: DataFrame, groups: Sequence[str], quotas: DataFrame, key, seed: int) -> tuple[DataFrame, list[Column]]:
+    """Hashed rows with `_cut`, the slice in which the quota of their group falls, and
+    `_rest`, the rows wanted of that slice. No quota, no cut."""
     hashed = _with_hash(df, key, seed)
     if not groups:
         groups = ["_all"]
@@ -77,12 +71,36 @@ def mark_quota(
         F.max("_slice").alias("_cut"), F.max_by(F.col("quota") - F.col("_before"), "_slice").alias("_rest")
     )
     cut, _ = broadcast_if_small(cut)
-    placed = hashed.join(cut, list(groups), "left")
+    return hashed.join(cut, list(groups), "left"), [*keys, F.col("_slice")]
+
+
+def take_quota(df: DataFrame, groups: Sequence[str], quotas: DataFrame, key, seed: int) -> DataFrame:
+    """The first `quota` rows of each group in hash order.
+
+    `quotas` holds one row per group with a column `quota`. Slices above the cut are
+    dropped by the scan, so little more than the sample is shuffled.
+    """
+    placed, slices = _with_cut(df, groups, quotas, key, seed)
+    near = placed.filter(F.col("_slice") <= F.col("_cut"))
+    place = F.row_number().over(Window.partitionBy(*slices).orderBy("_hash"))
+    kept = near.withColumn("_place", place).filter((F.col("_slice") < F.col("_cut")) | (F.col("_place") <= F.col("_rest")))
+    return kept.select(*[col(c) for c in df.columns])
+
+
+def mark_quota(
+    df: DataFrame, groups: Sequence[str], quotas: DataFrame, key, seed: int, name: str = "picked"
+) -> DataFrame:
+    """Flag the rows `take_quota` would take, keeping all rows.
+
+    Whole slices below the cut are in, whole slices above it are out; only the slice
+    of the cut is shuffled and sorted.
+    """
+    placed, slices = _with_cut(df, groups, quotas, key, seed)
     columns = [col(c) for c in df.columns]
     sure = placed.filter(F.col("_cut").isNull() | (F.col("_slice") != F.col("_cut")))
     sure = sure.select(*columns, F.coalesce(F.col("_slice") < F.col("_cut"), F.lit(False)).alias(name))
     edge = placed.filter(F.col("_slice") == F.col("_cut"))
-    place = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy("_hash"))
+    place = F.row_number().over(Window.partitionBy(*slices).orderBy("_hash"))
     return sure.unionByName(edge.select(*columns, (place <= F.col("_rest")).alias(name)))
 
 

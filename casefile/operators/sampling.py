@@ -12,14 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casefile.functions.values import col, linspace
-from casefile.operators.ranking import mark_quota, order_hash, rank_by_hash
+from casefile.operators.ranking import mark_quota, order_hash, rank_by_hash, take_quota
 from casefile.session import broadcast_if_small, durable
 
 
-def _pick(df: DataFrame, groups: Sequence[str], quotas: DataFrame, key, seed: int) -> DataFrame:
-    return mark_quota(df, groups, quotas, key, seed, "_picked").filter("_picked").drop("_picked")
-
-
 def _counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*[col(c) for c in columns]).agg(F.count(F.lit(1)).alias("count"))
 
@@ -27,7 +23,7 @@ def _counts(df: DataFrame, *columns: str) -> DataFrame:
 def simple_sample(df: DataFrame, n: int, key=None, seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows without replacement."""
     quota = df.sparkSession.range(1).select(F.lit(n).cast("long").alias("quota"))
-    return _pick(df, [], quota, key, seed)
+    return take_quota(df, [], quota, key, seed)
 
 
 def approximate_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -44,7 +40,7 @@ def sample_for_task(df: DataFrame, target: str, n: int, key=None, seed: int = 42
     fraction = min(1.0, n / total)
     clean = df.na.drop(subset=[target])
     quotas = _counts(clean, target).withColumn("quota", F.greatest(F.lit(1), F.floor(F.col("count") * F.lit(fraction))))
-    return _pick(clean, [target], quotas, key, seed)
+    return take_quota(clean, [target], quotas, key, seed)
 
 
 def sample_by_target(df: DataFrame, target: str, n: int = 5000, key=None, seed: int = 42) -> DataFrame:
@@ -57,7 +53,7 @@ def sample_by_target(df: DataFrame, target: str, n: int = 5000, key=None, seed:
     if total <= n:
         return clean
     quotas = counts.withColumn("quota", F.greatest(F.lit(1), F.floor(F.col("count") / F.lit(float(total)) * n)))
-    return _pick(clean, [target], quotas, key, seed)
+    return take_quota(clean, [target], quotas, key, seed)
 
 
 def sample_dual(
@@ -77,7 +73,7 @@ def sample_dual(
     inner = F.greatest(F.lit(1), F.floor(F.col("count") / F.col("_stratum") * share))
     quota = F.when(F.col("_stratum") <= share, F.col("count")).otherwise(F.least(F.col("count"), inner))
     quotas = cells.join(strata, stratum).withColumn("quota", quota)
-    return _pick(clean, [stratum, target], quotas, key, seed)
+    return take_quota(clean, [stratum, target], quotas, key, seed)
 
 
 def prepare_sample(df: DataFrame, target: str, config, key=None) -> DataFrame:

@@ -14,8 +14,9 @@ from casefile.functions.values import col, nan_to_null, present_number
 from casefile.operators import cleaning, profiling, schema
 from casefile.operators.sampling import simple_sample
 from casefile.operators.series import count_per_day
-from casefile.session import durable
+from casefile.session import durable, stored
 from casefile.sources import load_table, save_table
+from casefile.sources.tables import PARQUET_SUFFIX
 
 CALENDAR_COLUMNS = ("year", "month", "weekday", "hour", "is_weekend", "is_holiday")
 
@@ -51,7 +52,7 @@ def clean(raw: DataFrame, config: EdaConfig = EdaConfig(), as_of=None) -> tuple[
     if config.add_hex:
         df = add_hex_cell(df, lat, lon, config.hex_size_m)
     # the statistics below need several passes each
-    df = durable(cleaning.deduplicate(df))
+    df = stored(cleaning.deduplicate(df))
     df = schema.downcast_numeric(df)
     columns = outlier_columns(df, config)
     if config.iqr_clip:
@@ -84,7 +85,10 @@ def run_eda(
     table and the profile tables."""
     config = replace(config or EdaConfig(), **overrides)
     cleaned, seen = clean(load_table(spark, source), config, as_of)
-    cleaned = durable(cleaned)
-    if out_path:
-        save_table(cleaned, out_path)
+    if out_path and out_path.lower().rstrip("/").endswith(PARQUET_SUFFIX):
+        cleaned = load_table(spark, save_table(cleaned, out_path))
+    else:
+        cleaned = stored(cleaned)
+        if out_path:
+            save_table(cleaned, out_path)
     return cleaned, {**seen, **profile(cleaned, config, key)}
