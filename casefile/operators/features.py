@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -129,29 +130,36 @@ class Preprocessor(Estimator):
                 mean = row[f"m{i}"] if self.getOrDefault("withMean") else 0.0
                 source = f"nanvl({_quoted(c)}, null)" if is_floating(df.schema[c].dataType) else _quoted(c)
                 value = f"coalesce(cast({source} as double), {medians[c][0] or 0.0!r}D)"
-                exprs.append(f"({value} - {mean or 0.0!r}D) / {row[f's{i}'] or 1.0!r}D as {_quoted('num_' + c)}")
-                inputs.append("num_" + c)
+                exprs.append(f"({value} - {mean or 0.0!r}D) / {row[f's{i}'] or 1.0!r}D as {_quoted(_slot('num', i, c))}")
+                inputs.append(_slot('num', i, c))
         stages = []
         if categorical:
             _check_dictionary(df, categorical)
             modes = most_frequent(df, categorical)
-            for c in categorical:
+            texts = [_slot("cat", i, c) for i, c in enumerate(categorical)]
+            for c, text in zip(categorical, texts):
                 fallback = (modes[c] or "").replace("\\", "\\\\").replace("'", "\\'")
-                exprs.append(f"coalesce(cast({_quoted(c)} as string), '{fallback}') as {_quoted('cat_' + c)}")
+                exprs.append(f"coalesce(cast({_quoted(c)} as string), '{fallback}') as {_quoted(text)}")
         if exprs:
             stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
         prepared = stages[0].transform(df) if stages else df
         if categorical:
-            texts, index = [f"cat_{c}" for c in categorical], [f"idx_{c}" for c in categorical]
+            index = [_slot("idx", i, c) for i, c in enumerate(categorical)]
+            hot = [_slot("hot", i, c) for i, c in enumerate(categorical)]
             indexer = StringIndexer(inputCols=texts, outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep").fit(prepared)
             coded = indexer.transform(prepared)
-            encoder = OneHotEncoder(inputCols=index, outputCols=[f"hot_{c}" for c in categorical], dropLast=True).fit(coded)
+            encoder = OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True).fit(coded)
             stages += [indexer, encoder]
-            inputs += [f"hot_{c}" for c in categorical]
+            inputs += hot
         stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="error"))
         return PipelineModel(stages)
 
 
+def _slot(kind: str, number: int, name: str) -> str:
+    """A column name that the feature stages accept, whatever the original name holds."""
+    return f"{kind}{number}_" + re.sub(r"[.`]", "_", name)
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -189,10 +197,7 @@ def feature_names(vectors: DataFrame, column: str = "features") -> list[str]:
 
 
 def _plain_name(name: str) -> str:
-    for prefix in ("num_", "hot_"):
-        if name.startswith(prefix):
-            return name[len(prefix):]
-    return name
+    return re.sub(r"^(num|hot)\d+_", "", name)
 
 
 def build_matrix(
