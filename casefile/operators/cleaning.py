@@ -6,14 +6,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casefile.functions import dates
 from casefile.functions.values import clip, col, present_number
 from casefile.operators.quantiles import EXACT_ROWS, quantiles
+from casefile.session import stored
 
 # The coordinate box of the audit and the issue names it reports.
 LAT_RANGE = (33.3, 34.9)
@@ -134,14 +133,25 @@ def one_class_scores(
     spread = sum(1.0 for i in range(len(columns)) if row[f"s{i}"]) / len(columns) or 1.0
     width = 1.0 / (len(columns) * spread) if gamma == "scale" else float(gamma)
     kernel = fourier_map(len(columns), width, features, seed)
-    point = F.array(*scaled)
-    mean = df.select(Summarizer.mean(array_to_vector(fourier_features(point, kernel))).alias("m")).first()["m"].toArray()
+
+    def partial_sums(batches):
+        total, count = np.zeros(features), 0
+        for batch in batches:
+            total += kernel(batch.to_numpy()).sum(axis=0)
+            count += len(batch)
+        yield pd.DataFrame({"total": [total], "count": [count]})
+
+    # one short row per task
+    points = df.select(*[x.alias(str(i)) for i, x in enumerate(scaled)])
+    sums = points.mapInPandas(partial_sums, "total array<double>, count long")
+    rows = sums.select("count", F.posexplode("total").alias("j", "v")).groupBy("j").agg(F.sum("v").alias("v"), F.sum("count").alias("n"))
+    mean = np.array([r["v"] / max(r["n"], 1) for r in rows.orderBy("j").collect()])
 
     @F.pandas_udf("double")
-    def similarity(points: pd.Series) -> pd.Series:
-        return pd.Series(kernel(np.stack(points.to_numpy())) @ mean)
+    def similarity(*values: pd.Series) -> pd.Series:
+        return pd.Series(kernel(np.column_stack(values)) @ mean)
 
-    return df.withColumn("_density", similarity(point))
+    return df.withColumn("_density", similarity(*scaled))
 
 
 def fourier_map(dims: int, gamma: float, features: int, seed: int):
@@ -171,6 +181,7 @@ def one_class_filter(
     """Leave out the share `nu` of rows least like the rest; unchanged without columns."""
     if not columns:
         return df
-    scored = one_class_scores(df, columns, gamma, features, seed)
+    # written once, so that the scores are not computed again for the threshold
+    scored = stored(one_class_scores(df, columns, gamma, features, seed))
     edge = quantiles(scored, ["_density"], [nu], exact_rows)["_density"][0]
     return scored.filter(F.col("_density") >= F.lit(edge)).drop("_density")

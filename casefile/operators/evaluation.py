@@ -52,16 +52,23 @@ def score_table(
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Area under the ROC curve, ties counted half."""
-    t = score_table(df, label, score, rows_per_bucket)
-    won = F.col("neg").cast("double") * (F.col("cum_pos") - F.col("pos") / 2)
-    return t.agg((F.sum(won) / (F.sum("pos").cast("double") * F.sum("neg"))).alias("roc_auc"))
+    return ranking_metrics(score_table(df, label, score, rows_per_bucket)).select("roc_auc")
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Sum of recall steps times precision."""
-    t = score_table(df, label, score, rows_per_bucket)
+    return ranking_metrics(score_table(df, label, score, rows_per_bucket)).select("avg_precision")
+
+
+def ranking_metrics(table: DataFrame) -> DataFrame:
+    """ROC AUC and average precision from a `score_table`, in one aggregate."""
+    won = F.col("neg").cast("double") * (F.col("cum_pos") - F.col("pos") / 2)
+    pairs = F.sum("pos").cast("double") * F.sum("neg")
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    return t.agg((F.sum(F.col("pos") * precision) / F.sum("pos")).alias("avg_precision"))
+    return table.agg(
+        F.try_divide(F.sum(won), pairs).alias("roc_auc"),
+        F.try_divide(F.sum(F.col("pos") * precision), F.sum("pos")).alias("avg_precision"),
+    )
 
 
 def _class_totals(table: DataFrame) -> tuple[int, int]:
@@ -72,30 +79,38 @@ def _class_totals(table: DataFrame) -> tuple[int, int]:
 def roc_points(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """(fpr, tpr, threshold), points on a straight line between neighbours left out,
     starting at the origin with an infinite threshold."""
-    t = score_table(df, label, score, rows_per_bucket)
-    pos, neg = _class_totals(t)
+    return roc_curve(score_table(df, label, score, rows_per_bucket))
+
+
+def pr_points(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """(precision, recall, threshold) for every distinct score, ending at precision 1
+    and recall 0 without threshold."""
+    return pr_curve(score_table(df, label, score, rows_per_bucket))
+
+
+def roc_curve(table: DataFrame) -> DataFrame:
+    """ROC points from a `score_table`."""
+    pos, neg = _class_totals(table)
     first = F.col("cum_pos") + F.col("cum_neg") == F.col("pos") + F.col("neg")
     bend = F.col("next_pos").isNull() | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
-    points = t.filter(first | bend).select(
+    points = table.filter(first | bend).select(
         F.try_divide(F.col("cum_neg").cast("double"), F.lit(neg)).alias("fpr"),
         F.try_divide(F.col("cum_pos").cast("double"), F.lit(pos)).alias("tpr"),
         F.col("score").alias("threshold"),
     )
-    origin = df.sparkSession.createDataFrame([(0.0, 0.0, float("inf"))], "fpr double, tpr double, threshold double")
+    origin = table.sparkSession.createDataFrame([(0.0, 0.0, float("inf"))], "fpr double, tpr double, threshold double")
     return origin.unionByName(points)
 
 
-def pr_points(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """(precision, recall, threshold) for every distinct score, ending at precision 1
-    and recall 0 without threshold."""
-    t = score_table(df, label, score, rows_per_bucket)
-    pos, _ = _class_totals(t)
-    points = t.select(
+def pr_curve(table: DataFrame) -> DataFrame:
+    """Precision and recall from a `score_table`."""
+    pos, _ = _class_totals(table)
+    points = table.select(
         (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
         F.coalesce(F.try_divide(F.col("cum_pos").cast("double"), F.lit(pos)), F.lit(1.0)).alias("recall"),
         F.col("score").alias("threshold"),
     )
-    end = df.sparkSession.createDataFrame([(1.0, 0.0, None)], "precision double, recall double, threshold double")
+    end = table.sparkSession.createDataFrame([(1.0, 0.0, None)], "precision double, recall double, threshold double")
     return points.unionByName(end)
 
 

@@ -47,17 +47,27 @@ def numeric_histograms(df: DataFrame, columns: Sequence[str] | None = None, bins
     if not edges:
         return frame.withColumn("count", F.lit(0).cast("long"))
 
-    def bin_of(c: str) -> F.Column:
+    # a first guess per row, then at most one step to the side where rounding went wrong
+    order = list(edges)
+    guesses = []
+    for i, c in enumerate(order):
         x, e = values[c], edges[c]
-        rough = F.least(F.floor((x - e[0]) * (bins / (e[-1] - e[0]))).cast("int"), F.lit(bins - 1))
-        bounds = F.array(*[F.lit(v) for v in e])
-        down = x < F.get(bounds, rough)
-        up = (x >= F.get(bounds, rough + 1)) & (rough < bins - 1)
+        guess = F.least(F.floor((x - e[0]) * (bins / (e[-1] - e[0]))).cast("int"), F.lit(bins - 1))
         # least() passes over a null, which would land in the last bin
-        return F.when(x.isNull(), None).when(down, rough - 1).when(up, rough + 1).otherwise(rough)
-
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), bin_of(c).alias("bin")) for c in edges])
-    counts = df.select(F.inline(pairs)).filter(F.col("bin").isNotNull()).groupBy("column", "bin").count()
+        guesses += [x.alias(f"x{i}"), F.when(x.isNotNull(), guess).alias(f"g{i}")]
+    rough = df.select(*guesses)
+
+    def bin_of(i: int, c: str) -> F.Column:
+        x, g = F.col(f"x{i}"), F.col(f"g{i}")
+        bounds = F.array(*[F.lit(v) for v in edges[c]])
+        down = (x < F.get(bounds, g)).cast("int")
+        up = ((x >= F.get(bounds, g + 1)) & (g < bins - 1)).cast("int")
+        return g - down + up
+
+    pairs = F.array(*[F.struct(F.lit(i).alias("at"), bin_of(i, c).alias("bin")) for i, c in enumerate(order)])
+    counts = rough.select(F.inline(pairs)).filter(F.col("bin").isNotNull()).groupBy("at", "bin").count()
+    names_of = F.array(*[F.lit(c) for c in order])
+    counts = counts.select(F.get(names_of, F.col("at")).alias("column"), "bin", "count")
     joined = frame.join(counts, ["column", "bin"], "left")
     return joined.withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
 
