@@ -13,7 +13,7 @@ from casefile.operators.models import get_model_and_param_space
 from casefile.operators.training import evaluate_holdout, fit_pipeline, run_single_model, with_class_weight
 from casefile.operators.sampling import split_train_test
 from casefile.plans import quick_compare, run_eda
-from casefile.session import durable
+from casefile.session import durable, spread, stored
 
 
 @query(
@@ -115,8 +115,8 @@ def _rows(spark, sf):
 def _fit(spark, sf, name: str, params: dict):
     """One fit on the training part of all rows, judged on the held-out fifth."""
     encoded, classes = features.encode_target(_rows(spark, sf), "l_linestatus")
-    train, test = split_train_test(durable(encoded), "label", 0.2, "row_key")
-    train = durable(train)
+    train, test = split_train_test(spread(stored(encoded)), "label", 0.2, "row_key")
+    train = spread(stored(train))
     spec = get_model_and_param_space(name, len(classes), train.count())
     weighted = with_class_weight(train, spec)
     preprocessor = features.build_preprocessor(weighted, ["row_key", "l_linestatus", "label", "weight"])

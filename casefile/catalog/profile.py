@@ -157,9 +157,9 @@ def _daily_sql(source: str, ts: str, key: str | None, where: str = "true", kind:
     """
 
 
-@query("a09_rows_per_day", f"WITH {_daily_sql('events', 'ts', None, 'day(ts) % 4 <> 0')} SELECT * FROM series")
+@query("a09_rows_per_day", f"WITH {_daily_sql('orders', 'o_orderdate', None)} SELECT * FROM series")
 def a09(spark, sf):
-    return count_per_day(table(spark, sf, "events").filter(F.dayofmonth("ts") % 4 != 0), F.col("ts"))
+    return count_per_day(table(spark, sf, "orders"), F.col("o_orderdate"))
 
 
 @query("a10_daily_counts", f"WITH {_daily_sql('events', 'ts', 'event_type', kind='DOUBLE')} SELECT * FROM series")
@@ -178,11 +178,18 @@ def a10_best(spark, sf):
     return daily_counts(incidents(spark, sf), as_of="2001-03-01")
 
 
-@query("j01_date_spine", f"WITH {_daily_sql('events', 'ts', 'event_type', 'day(ts) % 4 <> 0')} SELECT * FROM series")
+@query(
+    "j01_date_spine",
+    f"""
+    WITH o AS (SELECT o_orderdate, concat(o_orderstatus, ':', o_orderpriority) AS kind FROM orders),
+    {_daily_sql('o', 'o_orderdate', 'kind')} SELECT * FROM series
+    """,
+)
 def j01(spark, sf):
-    kept = table(spark, sf, "events").filter(F.dayofmonth("ts") % 4 != 0)
-    counts = kept.groupBy("event_type", F.col("ts").cast("date").alias("ds")).agg(F.count(F.lit(1)).alias("y"))
-    return fill_days(counts, ["event_type"])
+    # many days of these series have no order
+    kind = F.concat("o_orderstatus", F.lit(":"), "o_orderpriority").alias("kind")
+    counts = table(spark, sf, "orders").groupBy(kind, F.col("o_orderdate").cast("date").alias("ds")).agg(F.count(F.lit(1)).alias("y"))
+    return fill_days(counts, ["kind"])
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from casefile.functions.values import as_text, col, long_form, missing, present_number, text_columns
 from casefile.operators.quantiles import quantiles
 from casefile.operators.schema import low_cardinality, split_by_kind
+from casefile.session import durable
 
 HISTOGRAM_BINS = 30
 # Pairwise statistics per aggregate; wider tables take several.
@@ -118,42 +120,35 @@ def mutual_information(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(a, b, measure, value): normalised mutual information (arithmetic mean of the
     entropies) of categorical pairs, full matrix. Missing is a category.
 
-    Every row meets every pair once; only the contingency counts are shuffled.
+    MI = H(a) + H(b) - H(a, b), each entropy from the sum of n ln n over its cells.
+    Every row meets every pair once; only cell counts are shuffled, and only one sum
+    per pair comes back.
     """
     pairs = list(combinations_with_replacement(columns, 2))
+    schema = "a string, b string, measure string, value double"
     if not pairs:
-        return df.sparkSession.createDataFrame([], "a string, b string, measure string, value double")
+        return df.sparkSession.createDataFrame([], schema)
+    texts = df.select(*[as_text(col(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+    at = {c: i for i, c in enumerate(columns)}
     cells = F.array(
         *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), as_text(col(a)).alias("x"), as_text(col(b)).alias("y"))
-            for a, b in pairs
+            F.struct(F.lit(i).alias("pair"), F.col(f"c{at[a]}").alias("x"), F.col(f"c{at[b]}").alias("y"))
+            for i, (a, b) in enumerate(pairs)
         ]
     )
-    table = df.select(F.inline(cells)).groupBy("a", "b", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    pair, left, right = Window.partitionBy("a", "b"), Window.partitionBy("a", "b", "x"), Window.partitionBy("a", "b", "y")
-    table = (
-        table.withColumn("all", F.sum("n").over(pair))
-        .withColumn("nx", F.sum("n").over(left))
-        .withColumn("ny", F.sum("n").over(right))
-    )
-    p = F.col("n") / F.col("all")
-    info = table.groupBy("a", "b").agg(
-        F.sum(p * F.ln(F.col("n") * F.col("all") / (F.col("nx") * F.col("ny")))).alias("mi"),
-        F.sum(-p * F.ln(F.col("nx") / F.col("all"))).alias("hx"),
-        F.sum(-p * F.ln(F.col("ny") / F.col("all"))).alias("hy"),
-        F.max("nx").alias("topx"),
-        F.max("ny").alias("topy"),
-        F.max("all").alias("all"),
-    )
-    both_constant = (F.col("topx") == F.col("all")) & (F.col("topy") == F.col("all"))
-    nmi = (
-        F.when(both_constant, 1.0)
-        .when(F.abs("mi") < 1e-12, 0.0)
-        .otherwise(F.col("mi") / ((F.col("hx") + F.col("hy")) / 2))
-    )
-    out = info.select("a", "b", F.lit("nmi").alias("measure"), nmi.alias("value"))
-    mirrored = out.filter("a != b").select(F.col("b").alias("a"), F.col("a").alias("b"), "measure", "value")
-    return out.unionByName(mirrored)
+    counts = texts.select(F.inline(cells)).groupBy("pair", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    sums = counts.groupBy("pair").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.ln("n")).alias("s"), F.count(F.lit(1)).alias("cells"))
+    entropy, single = {}, {}
+    for r in sums.collect():
+        entropy[pairs[r["pair"]]] = math.log(r["n"]) - r["s"] / r["n"]
+        single[pairs[r["pair"]]] = r["cells"] == 1
+    rows = []
+    for a, b in entropy:
+        shared = entropy[a, a] + entropy[b, b] - entropy[a, b]
+        mean = (entropy[a, a] + entropy[b, b]) / 2
+        value = 1.0 if single[a, b] else 0.0 if abs(shared) < 1e-12 else shared / mean
+        rows += [(a, b, "nmi", value)] if a == b else [(a, b, "nmi", value), (b, a, "nmi", value)]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def anova_f(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
@@ -174,12 +169,13 @@ def anova_f(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -
             ]
         ).alias("s"),
     )
-    flat = stats.select("b", "n", F.inline("s"))
-    both = Window.partitionBy("a", "b")
-    flat = flat.withColumn("grand", F.sum(F.col("n") * F.col("m")).over(both) / F.sum("n").over(both))
+    flat = durable(stats).select("b", "n", F.inline("s"))
+    # any one category splits all rows, so its groups give the overall means
+    whole = flat.filter(F.col("b") == categorical[0]).groupBy("a").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("m"))
+    means = F.create_map(*[F.lit(v) for r in whole.collect() for v in (r["a"], r["m"])])
     parts = flat.groupBy("a", "b").agg(
         F.sum(F.col("n") * F.col("v")).alias("within"),
-        F.sum(F.col("n") * (F.col("m") - F.col("grand")) ** 2).alias("between"),
+        F.sum(F.col("n") * (F.col("m") - F.element_at(means, F.col("a"))) ** 2).alias("between"),
         F.count(F.lit(1)).alias("k"),
         F.sum("n").alias("n"),
     )

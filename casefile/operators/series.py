@@ -16,16 +16,18 @@ from casefile.functions import dates
 def fill_days(counts: DataFrame, keys: Sequence[str], day: str = "ds", value: str = "y") -> DataFrame:
     """Every day from the first to the last of each key; absent days get 0.
 
-    Works on the aggregated counts, so the spine is as long as the calendar.
+    Each counted day brings along the empty days up to the next one, so the table
+    behind the counts is read once. A key has at most as many rows as the calendar
+    has days.
     """
     groups = [col(k) for k in keys]
-    ends = counts.groupBy(*groups).agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
-    spine = ends.filter(F.col("_lo").isNotNull()).select(
-        *groups, F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 day"))).alias(day)
-    )
-    filled = spine.join(counts, [*keys, day], "left")
+    following = F.lead(col(day)).over(Window.partitionBy(*(groups or [F.lit(0)])).orderBy(day))
+    until = F.coalesce(F.date_sub(following, 1), col(day))
+    dated = counts.filter(col(day).isNotNull())
+    days = dated.withColumn("_until", until).withColumn("_day", F.explode(F.sequence(col(day), F.col("_until"))))
     zero = F.lit(0).cast(counts.schema[value].dataType)
-    return filled.select(*groups, col(day), F.coalesce(col(value), zero).alias(value))
+    counted = F.when(F.col("_day") == col(day), col(value)).otherwise(zero)
+    return days.select(*groups, F.col("_day").alias(day), counted.alias(value))
 
 
 def count_per_day(df: DataFrame, ts: F.Column, keys: Sequence[str] = (), day: str = "ds", value: str = "y") -> DataFrame:

@@ -68,6 +68,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Deal a stored table out to all cores when its files make fewer partitions.
+
+    For the iterative fits on small tables; a big table has more partitions than
+    cores and stays as it is. Only for tables read back, whose plan runs nothing.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Materialise a side table and mark it for broadcast only when its row
     count is within the bound. Returns the table and whether it was small."""
