@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Rows of an aggregated side table that may be sent to every executor.
 BROADCAST_ROWS = 200_000
+# Rows from which a table is worth dealing out to all cores.
+SPREAD_ROWS = 100_000
 
 
 def build_session(app: str = "casefile", master: str | None = None, **conf: str) -> SparkSession:
@@ -71,11 +73,14 @@ def stored(df: DataFrame) -> DataFrame:
 def spread(table: DataFrame) -> DataFrame:
     """Deal a stored table out to all cores when its files make fewer partitions.
 
-    For the iterative fits on small tables; a big table has more partitions than
-    cores and stays as it is. Only for tables read back, whose plan runs nothing.
+    For the iterative fits on tables of middling size; a big table has more
+    partitions than cores and stays as it is, and for a small one more tasks only
+    cost. Only for tables read back, whose plan runs nothing.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    if table.rdd.getNumPartitions() >= cores or table.count() < SPREAD_ROWS:
+        return table
+    return table.repartition(cores)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
