@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm import hilbert, quality_rules, simhash, url_filter, warc
+from casefile.llm import hilbert, language_id, quality_model, quality_rules, simhash, url_filter, warc
 from casefile.llm.common import table
 from casefile.session import scratch_folder
 
@@ -63,3 +63,14 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.learn_and_identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality_model")
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_model.score_documents(docs, quality_model.learn_quality(docs, table(spark, sf_dir, "labels")))
