@@ -1,14 +1,17 @@
 """Language identification by compression.
 
-For each language a raw-content Zstandard dictionary is cut from known texts. A text is compressed
-whole with every dictionary; the one that makes it smallest names its language. Where the runner-up
-is nearly as small the choice is marked as not confident.
+For each language a raw-content Zstandard dictionary is cut from known texts. Texts are brought to
+lower-case words, a word said several times in a row once, and all of a text is compressed with every
+dictionary, piece by piece, so that a long text cannot become its own dictionary. The one that
+makes it smallest names its language. Where the runner-up is nearly as small the choice is marked
+as not confident.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 import zstandard
@@ -25,12 +28,19 @@ DICTIONARY_BYTES = 1 << 18
 LEVEL = 3
 # Bytes by which the runner-up must be larger, as a share of its size.
 NARROW = 0.01
-LETTER = re.compile(r"[^\W\d_]")
+# Characters compressed at a time.
+PIECE = 1024
+WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
 
+def plain_words(text: str) -> str:
+    """The words of a text in lower case, repetitions in a row left out."""
+    return " ".join(word for word, _ in groupby(WORD.findall(text.lower())))
+
+
 def language_samples(known: DataFrame) -> dict[str, bytes]:
-    """A dictionary of bounded size for each language of (doc_id, text, lang).
+    """A dictionary of bounded size for each language of (doc_id, text, lang), the most frequent first.
 
     Texts are taken in the order of a hash of the id. Languages are few (one or two kilobytes of
     Python objects each besides the dictionary); their number is the only thing here that may grow.
@@ -44,15 +54,15 @@ def language_samples(known: DataFrame) -> dict[str, bytes]:
     ranked = few.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).filter(F.col("r") <= SAMPLE_TEXTS)
     size = F.sum(F.octet_length("text") + 1).over(W.partitionBy("lang").orderBy("r"))
     ranked = ranked.withColumn("size", size).filter((F.col("size") <= DICTIONARY_BYTES) | (F.col("r") == 1))
-    found: dict[str, list[bytes]] = {}
+    found: dict[str, list[bytes]] = {r["lang"]: [] for r in sorted(held.collect(), key=lambda r: (-r["n"], r["lang"]))}
     for row in sorted(ranked.select("lang", "r", "text").collect(), key=lambda row: (row["lang"], -row["r"])):
-        found.setdefault(row["lang"], []).append(row["text"].encode("utf-8", "surrogatepass"))
-    return {lang: b"\n".join(texts) for lang, texts in found.items()}
+        found[row["lang"]].append(plain_words(row["text"]).encode())
+    return {lang: b" ".join(texts) for lang, texts in found.items()}
 
 
 def identifier(samples: dict[str, bytes], level: int = LEVEL):
     """A function from text to (language, score, confident)."""
-    names = sorted(samples)
+    names = list(samples)
     squeezers = []
     for name in names:
         known = zstandard.ZstdCompressionDict(samples[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -60,13 +70,11 @@ def identifier(samples: dict[str, bytes], level: int = LEVEL):
         squeezers.append(zstandard.ZstdCompressor(dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False))
 
     def identify(text: str | None) -> tuple[str, float, bool]:
-        if not names or text is None or not LETTER.search(text):
+        words = plain_words(text) if names and text else ""
+        if not words:
             return UNKNOWN, 0.0, False
-        data = text.encode("utf-8", "surrogatepass")
-        sizes = [len(s.compress(data)) for s in squeezers]
-        if len(data) < 512:  # bytes are coarse for a short text: its lower-case form counts as well
-            lower = text.lower().encode("utf-8", "surrogatepass")
-            sizes = [n + len(s.compress(lower)) for n, s in zip(sizes, squeezers, strict=True)]
+        pieces = [words[at : at + PIECE].encode() for at in range(0, len(words), PIECE)]
+        sizes = [sum(len(s.compress(piece)) for piece in pieces) for s in squeezers]
         order = sorted(range(len(names)), key=lambda i: (sizes[i], i))
         best, second = sizes[order[0]], sizes[order[1]] if len(order) > 1 else 2 * sizes[order[0]]
         score = 1 - best / second
@@ -79,7 +87,7 @@ def identify_languages(docs: DataFrame, samples: dict[str, bytes], level: int =
     """(doc_id, held_out, lang_pred, score, confident) for every row of `docs`.
 
     The score is the share by which the best dictionary beats the runner-up: 0 for a tie, 1 for
-    nothing left; ties go to the first language name. Null texts, texts without a letter and all
+    nothing left; ties go to the language with more known texts. Null texts, texts without a letter and all
     texts where nothing was learned are `und` with score 0. Repeated rows and null ids are kept,
     other columns ignored; no rows give no rows.
     """

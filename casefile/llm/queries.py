@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm import hilbert, language_id, quality_model, quality_rules, simhash, url_filter, warc
+from casefile.llm import decontaminate, hilbert, language_id, mixing, quality_model, quality_rules, simhash, url_filter, warc
 from casefile.llm.common import table
 from casefile.session import scratch_folder
 
@@ -74,3 +74,20 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_model.score_documents(docs, quality_model.learn_quality(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def language_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(text, domain): documents that the table of labels covers, their language as the domain."""
+    covered = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    return table(spark, sf_dir, "documents").join(covered, "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
+
+
+@query("op7_mixing")
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All languages are wanted with the same number of tokens."""
+    return mixing.mixed_rates(table(spark, sf_dir, "documents"), language_labels(spark, sf_dir))
