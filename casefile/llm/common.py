@@ -49,3 +49,12 @@ def forget(spark: SparkSession, path: str) -> None:
 def free_shuffles(spark: SparkSession) -> None:
     """Let the driver notice dropped tables, so that their shuffle files go before the next pass."""
     spark.sparkContext._jvm.System.gc()
+
+
+def bounded_ids(labels: DataFrame, rows: int) -> DataFrame:
+    """(doc_id): distinct ids of `labels`, chosen by their hash, about nine tenths of `rows` and never more than `rows`."""
+    ids = labels.select(labels["doc_id"].cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    total = ids.count()
+    if total > 0.9 * rows:
+        ids = ids.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fit")), F.lit(1 << 30)) < int((1 << 30) * 0.9 * rows / total))
+    return ids.limit(rows)

@@ -35,7 +35,8 @@ class Domains:
 
 
 def words_of(text: Column) -> Column:
-    return F.array_distinct(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), NOT_WORD))
+    """Words of a whole text in lower case, empty ones at its ends included."""
+    return F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), NOT_WORD)
 
 
 def learn_domains(labelled: DataFrame, rows: int = FIT_ROWS, markers: int = MARKERS) -> Domains:
@@ -50,7 +51,7 @@ def learn_domains(labelled: DataFrame, rows: int = FIT_ROWS, markers: int = MARK
     total = known.select("domain").count()
     if total > rows:
         known = known.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * rows / total))
-    sample = durable(known.select("domain", words_of(F.col("text")).alias("words")))
+    sample = durable(known.select("domain", F.array_distinct(words_of(F.col("text"))).alias("words")))
     held = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     names, n = sorted(held), sum(held.values())
     if not names:
@@ -78,29 +79,32 @@ def _hits(words: Column, markers: list[str]) -> Column:
     return F.size(F.array_intersect(words, F.array(*map(F.lit, markers)).cast("array<string>")))
 
 
-def posteriors(text: Column, domains: Domains) -> Column:
-    """Share of a whole text in each domain, as an array that adds up to 1.
+def measured(text: Column, domains: Domains) -> Column:
+    """(tokens, shares) of a whole text: its number of words, and its share in each domain.
 
     Every distinct marker word in the text counts once and is split among the domains; a text with
-    none, also null and empty ones, has the shares of the labelled rows.
+    none, also null and empty ones, has the shares of the labelled rows. Shares add up to 1.
     """
-    counts = F.transform(F.array(words_of(text)), lambda words: F.array(*[_hits(words, m).cast("double") for m in domains.markers]))[0]
     shares = F.array(*[F.array(*map(F.lit, map(float, row))) for row in domains.shares])
-    prior = F.array(*map(F.lit, map(float, domains.prior)))
+    prior = F.array(*map(F.lit, map(float, domains.prior))).cast("array<double>")
+    zero = F.array(*[F.lit(0.0) for _ in domains.names]).cast("array<double>")
+    every = sorted({w for words in domains.markers for w in words})
 
     def spread(count: Column) -> Column:
         total = F.aggregate(count, F.lit(0.0), lambda a, x: a + x)
-        zero = F.array(*[F.lit(0.0) for _ in domains.names])
         summed = F.aggregate(F.arrays_zip(count.alias("c"), shares.alias("s")), zero, lambda a, e: F.zip_with(a, e["s"], lambda x, y: x + e["c"] * y))
         return F.when(total > 0, F.transform(summed, lambda x: x / total)).otherwise(prior)
 
-    return F.transform(F.array(counts), spread)[0]
+    def look(words: Column) -> Column:
+        tokens = F.size(words) - F.when(F.get(words, F.lit(0)) == "", 1).otherwise(0) - F.when((F.size(words) > 1) & (F.element_at(words, -1) == ""), 1).otherwise(0)
+        if not domains.names:
+            return F.struct(tokens.cast("long").alias("tokens"), prior.alias("shares"))
+        # the text is searched once for all markers; what is left is short
+        found = F.array_intersect(words, F.array(*map(F.lit, every)).cast("array<string>"))
+        counts = F.transform(F.array(found), lambda few: F.array(*[_hits(few, m).cast("double") for m in domains.markers]))
+        return F.struct(tokens.cast("long").alias("tokens"), F.get(F.transform(counts, spread), F.lit(0)).alias("shares"))
 
-
-def tokens_of(text: Column) -> Column:
-    """Words between blanks of a whole text; 0 for null."""
-    bare = F.trim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " "))
-    return F.when(bare == "", 0).otherwise(F.length(bare) - F.length(F.translate(bare, " ", "")) + 1).cast("long")
+    return F.get(F.transform(F.array(words_of(text)), look), F.lit(0))
 
 
 def fit_steps(table: DataFrame, target: list[float], pull: float = PULL, steps: int = STEPS, tolerance: float = TOLERANCE) -> list[list[float]]:
@@ -119,7 +123,7 @@ def fit_steps(table: DataFrame, target: list[float], pull: float = PULL, steps:
     for _ in range(steps):
         off = [now[d] - target[d] for d in range(width)]
         worst = max(map(abs, off))
-        if worst < tolerance or worst > last * 0.999:
+        if worst < tolerance or worst > last * 0.99:
             break
         last = worst
         history.append([off[d] / scale[d] for d in range(width)])
@@ -144,28 +148,29 @@ def rate_of(shares: Column, history: list[list[float]], pull: float = PULL) -> C
 
 @dataclass(frozen=True)
 class Mix:
+    """`table` holds (doc_id, tokens, shares) of the rows that it was fitted on."""
+
     domains: Domains
     history: list[list[float]]
     pull: float
+    table: DataFrame
 
-    def rate(self, text: Column) -> Column:
-        if not self.domains.names:
-            return F.lit(1.0)
-        return F.transform(F.array(posteriors(text, self.domains)), lambda p: rate_of(p, self.history, self.pull))[0]
+    def rate(self, shares: Column) -> Column:
+        return rate_of(shares, self.history, self.pull) if self.domains.names else F.lit(1.0)
 
 
 def fit_mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, pull: float = PULL) -> Mix:
-    """Learn the domains from `labelled` (text, domain) and fit rates for all of `docs` (text).
+    """Learn the domains from `labelled` (text, domain) and fit rates for all of `docs`.
 
     `weights` names the wanted share of each domain (in any unit; domains left out get 0, unknown
     ones are ignored); without it all domains weigh the same.
     """
     domains = learn_domains(labelled)
     wanted = [float((weights or {}).get(d, 0.0 if weights else 1.0)) for d in domains.names]
-    if not domains.names or sum(wanted) <= 0:
-        return Mix(domains, [], pull)
-    table = durable(docs.select(tokens_of(docs["text"]).alias("tokens"), posteriors(docs["text"], domains).alias("shares")))
-    return Mix(domains, fit_steps(table, [w / sum(wanted) for w in wanted], pull), pull)
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), measured(docs["text"], domains).alias("m"))
+    table = durable(rows.select("doc_id", "m.tokens", "m.shares"))
+    history = fit_steps(table, [w / sum(wanted) for w in wanted], pull) if sum(wanted) > 0 else []
+    return Mix(domains, history, pull, table)
 
 
 def mixed_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
@@ -173,14 +178,11 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]
 
     Null and empty texts have no tokens and the shares of the labelled rows. Null and repeated ids
     are kept; other columns do not count. Without labelled rows there are no domains: shares are
-    empty and every rate is 1.
+    empty and every rate is 1. No rows give no rows.
     """
     mix = fit_mix(docs, labelled, weights)
     names = F.array(*map(F.lit, mix.domains.names)).cast("array<string>")
-    shares = posteriors(docs["text"], mix.domains) if mix.domains.names else F.array().cast("array<double>")
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), tokens_of(docs["text"]).alias("tokens"), shares.alias("p"))
-    rate = rate_of(F.col("p"), mix.history, mix.pull)
-    return rows.select("doc_id", "tokens", F.map_from_arrays(names, F.col("p")).alias("shares"), rate.alias("rate"))
+    return mix.table.select("doc_id", "tokens", F.map_from_arrays(names, F.col("shares")).alias("shares"), mix.rate(mix.table["shares"]).alias("rate"))
 
 
 def apply_rates(docs: DataFrame, mix: Mix) -> DataFrame:
@@ -191,8 +193,9 @@ def apply_rates(docs: DataFrame, mix: Mix) -> DataFrame:
     token shares hold in expectation and no document is lost. A document whose rate is 0 stays once.
     """
     rate = fresh_name(docs, "rate_of_row")
-    rated = docs.withColumn(rate, mix.rate(docs["text"]))
-    least = rated.filter(F.col(rate) > 0).agg(F.min(rate)).first()[0] or 1.0
+    least = mix.table.select(mix.rate(F.col("shares")).alias("r")).filter("r > 0").agg(F.min("r")).first()[0] or 1.0
+    shares = measured(docs["text"], mix.domains)["shares"]
+    rated = docs.withColumn(rate, F.get(F.transform(F.array(shares), mix.rate), F.lit(0)))
     luck = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / float(1 << 30)
     copies = F.greatest(F.lit(1), F.floor(F.col(rate) / least + luck).cast("int"))
     return rated.withColumn(rate, F.explode(F.sequence(F.lit(1), copies))).drop(rate)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm import decontaminate, hilbert, language_id, mixing, quality_model, quality_rules, simhash, url_filter, warc
-from casefile.llm.common import table
+from casefile.llm import decontaminate, hilbert, language_id, mixing, quality_model, quality_rules, repeated_spans, simhash, url_filter, warc
+from casefile.llm.common import bounded_ids, table
 from casefile.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_repeated_spans")
+def op1_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.remove_repeats(table(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 @query("op2_hilbert_shards")
 def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -82,8 +87,8 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(text, domain): documents that the table of labels covers, their language as the domain."""
-    covered = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    """(text, domain): a bounded number of documents that the table of labels covers, their language as the domain."""
+    covered = F.broadcast(bounded_ids(table(spark, sf_dir, "labels"), mixing.FIT_ROWS))
     return table(spark, sf_dir, "documents").join(covered, "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
 
 
