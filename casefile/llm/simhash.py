@@ -1,6 +1,6 @@
 """Near-duplicate groups by SimHash fingerprints.
 
-Fingerprints are embedded by the number of set bits in each of sixteen segments. The Manhattan
+Fingerprints are embedded by the number of set bits in each of 32 segments. The Manhattan
 distance of two embeddings is never above the Hamming distance of the fingerprints, so a range
 join on the grid of embeddings finds every possible partner. The join lists no pairs: two
 points of the grid lie within 2 of each other exactly if some grid point is within 1 of both, so
@@ -24,8 +24,9 @@ from casefile.llm.common import fresh_name, texts_of
 from casefile.session import durable
 
 SHINGLE = 3
-SEGMENT_BITS = 4
-SEGMENTS = 64 // SEGMENT_BITS
+# Segments of two bits hold 0, 1 or 2: enough different points that chance meetings stay rare in billions of fingerprints.
+SEGMENTS = 32
+_EVEN = 0x5555555555555555
 # Shingles whose bits are counted at once, so that a very long text needs no large array.
 BLOCK = 1 << 16
 MAX_ROUNDS = 200
@@ -62,24 +63,20 @@ def as_hex(value: Column) -> Column:
 
 
 def _cell(value: Column) -> Column:
-    """Set bits of each segment, three binary digits each."""
-    parts = [
-        F.shiftleft(F.bit_count(F.shiftrightunsigned(value, SEGMENT_BITS * i).bitwiseAND(F.lit(2**SEGMENT_BITS - 1))).cast("long"), 3 * i)
-        for i in range(SEGMENTS)
-    ]
-    total = parts[0]
-    for part in parts[1:]:
-        total = total + part
-    return total
+    """Set bits of each segment, two binary digits each, added without carry into the sign."""
+    low, high = value.bitwiseAND(F.lit(_EVEN)), F.shiftrightunsigned(value, 1).bitwiseAND(F.lit(_EVEN))
+    return low.bitwiseXOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))
 
 
 def _near_cells(cell: Column) -> Column:
     """The cell and all others within Manhattan distance 1."""
     found = [cell]
     for i in range(SEGMENTS):
-        here = F.shiftrightunsigned(cell, 3 * i).bitwiseAND(F.lit(7))
-        found.append(F.when(here > 0, cell - F.lit(1 << 3 * i).cast("long")))
-        found.append(F.when(here < SEGMENT_BITS, cell + F.lit(1 << 3 * i).cast("long")))
+        here = F.shiftrightunsigned(cell, 2 * i).bitwiseAND(F.lit(3))
+        both = 3 << 2 * i
+        # 0 and 1 differ in one digit, 1 and 2 in both
+        found.append(F.when(here < 2, cell.bitwiseXOR(F.lit(1 << 2 * i).cast("long"))))
+        found.append(F.when(here > 0, cell.bitwiseXOR(F.lit(both - (1 << 64) if both >> 63 else both).cast("long"))))
     return F.array_compact(F.array(*found))
 
 
