@@ -160,7 +160,8 @@ def repeated_ranges(rows: DataFrame, span: int = SPAN) -> DataFrame:
     """(doc_id, mark, begin, end): byte ranges of (doc_id, mark, data) covered by repeated windows; ranges may overlap."""
     spark, sizes = rows.sparkSession, block_sizes(span)
     positions, first_path = written(_positions(rows.filter(F.octet_length("data") >= span), span))
-    again = positions.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    # side tables are written out before a join, so that it reads two plain shuffles and hot names can be split
+    again = durable(positions.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     left, left_path = written(positions.join(again, "gram", "left_semi").select(positions.columns))
     forget(spark, first_path)
     free_shuffles(spark)
@@ -168,19 +169,19 @@ def repeated_ranges(rows: DataFrame, span: int = SPAN) -> DataFrame:
     known = left.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
     known = durable(known.select("gram", "context", (F.col("n") == 1).alias("open"), "at.*"))
     # contexts that recur as they are need no closer look, but others may equal parts of them
-    doubtful = known.groupBy("gram").agg(F.max("open").alias("any")).filter("any").select("gram")
+    doubtful = durable(known.groupBy("gram").agg(F.max("open").alias("any")).filter("any").select("gram"))
     contexts, contexts_path = written(_contexts(rows, known.join(doubtful, "gram", "left_semi"), span))
     pending = contexts.select("*", F.array(F.lit(0)).alias("starts"), F.array("open").alias("opens"))
     found = None
     for size, parent in zip(sizes[1:], sizes[:-1], strict=True):
         blocks, path = written(_blocks(pending, span, size, parent))
-        twice = blocks.groupBy("whole").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("whole", F.lit(True).alias("twice"))
+        twice = durable(blocks.groupBy("whole").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("whole", F.lit(True).alias("twice")))
         judged = blocks.join(twice, "whole", "left").select("context", "start", "core", F.col("open"), F.coalesce("twice", F.lit(False)).alias("twice"))
         hits = durable(judged.filter("open AND twice").select("context", F.col("start").alias("a"), F.lit(size).alias("size")))
         found = hits if found is None else found.unionByName(hits)
         if size > 1:
             judged = judged.withColumn("open", F.col("open") & ~F.col("twice"))
-            cores = judged.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any")).filter("n > 1 AND any").select("core")
+            cores = durable(judged.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any")).filter("n > 1 AND any").select("core"))
             live = judged.join(cores, "core", "left_semi")
             live = durable(live.groupBy("context").agg(F.collect_list("start").alias("starts"), F.collect_list("open").alias("opens")))
             pending = contexts.drop("open").join(live, "context")
