@@ -20,6 +20,8 @@ from casefile.session import durable
 # Labelled rows used to learn, the longest text among them, marker words of a domain.
 FIT_ROWS, FIT_BYTES, MARKERS = 4000, 16_384, 60
 STEPS, TOLERANCE, PULL = 60, 1e-6, 1e-3
+# How many times the tokens of the corpus a mix without losses may have.
+MOST_TOTAL = 4.0
 # Words here are runs of anything but blanks and ASCII punctuation or digits.
 NOT_WORD = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -107,41 +109,47 @@ def measured(text: Column, domains: Domains) -> Column:
     return F.get(F.transform(F.array(words_of(text)), look), F.lit(0))
 
 
-def fit_steps(table: DataFrame, target: list[float], pull: float = PULL, steps: int = STEPS, tolerance: float = TOLERANCE) -> list[list[float]]:
-    """Gradients of all steps until the token shares are within `tolerance` of `target` or no longer get nearer.
+def fit_steps(table: DataFrame, weights: list[float], floor: float = 0.0, pull: float = PULL, steps: int = STEPS, tolerance: float = TOLERANCE) -> list[list[float]]:
+    """Gradients of all steps until the token totals are within `tolerance` of their targets or no longer get nearer.
 
-    `table` has `tokens` and `shares`. A step turns rate r of a document with shares p into
-    max(0, r - p . g - pull * (r - 1)), so its whole history is a list of vectors g.
+    `table` has `tokens` and `shares`; `weights` add up to 1. A step turns rate r of a document with
+    shares p into max(floor, r - p . g - pull * (r - 1)), so its whole history is a list of vectors g.
+    With floor 0 the targets are `weights` of the corpus as it is. With a higher one they are those of
+    a total in which the most over-represented domain keeps all it has, `MOST_TOTAL` times the corpus
+    at most; beyond that the totals only come as near as they can.
     """
-    width = len(target)
+    width = len(weights)
     base = table.agg(F.sum("tokens").alias("t"), *[F.sum(F.col("tokens") * F.col("shares")[d]).alias(f"d{d}") for d in range(width)]).first()
     if not base["t"]:
         return []
-    scale = [max(base[f"d{d}"] / base["t"], 1e-9) for d in range(width)]
+    now = [base[f"d{d}"] / base["t"] for d in range(width)]
+    scale = [max(n, 1e-9) for n in now]
+    total = min(MOST_TOTAL, max(n / w for n, w in zip(now, weights, strict=True) if w > 0)) if floor > 0 else 1.0
+    target = [w * total for w in weights]
     history: list[list[float]] = []
-    now, last = [base[f"d{d}"] / base["t"] for d in range(width)], float("inf")
+    last = float("inf")
     for _ in range(steps):
         off = [now[d] - target[d] for d in range(width)]
-        worst = max(map(abs, off))
-        if worst < tolerance or worst > last * 0.99:
+        distance = sum(o * o / c for o, c in zip(off, scale, strict=True))
+        if max(map(abs, off)) < tolerance or distance > last * 0.99:
             break
-        last = worst
+        last = distance
         history.append([off[d] / scale[d] for d in range(width)])
-        rate = F.col("tokens") * rate_of(F.col("shares"), history, pull)
+        rate = F.col("tokens") * rate_of(F.col("shares"), history, floor, pull)
         row = table.agg(*[F.sum(rate * F.col("shares")[d]).alias(f"d{d}") for d in range(width)]).first()
         now = [row[f"d{d}"] / base["t"] for d in range(width)]
     return history
 
 
-def rate_of(shares: Column, history: list[list[float]], pull: float = PULL) -> Column:
-    """Rate of a document after all steps, beginning with 1."""
+def rate_of(shares: Column, history: list[list[float]], floor: float = 0.0, pull: float = PULL) -> Column:
+    """Rate of a document after all steps, beginning with 1 and never below `floor`."""
     if not history:
         return F.lit(1.0)
     steps = F.array(*[F.array(*map(F.lit, g)) for g in history])
 
     def step(rate: Column, g: Column) -> Column:
         move = F.aggregate(F.zip_with(shares, g, lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(F.lit(0.0), (1 - pull) * rate - move + pull)
+        return F.greatest(F.lit(float(floor)), (1 - pull) * rate - move + pull)
 
     return F.aggregate(steps, F.lit(1.0), step)
 
@@ -152,25 +160,25 @@ class Mix:
 
     domains: Domains
     history: list[list[float]]
-    pull: float
+    floor: float
     table: DataFrame
 
     def rate(self, shares: Column) -> Column:
-        return rate_of(shares, self.history, self.pull) if self.domains.names else F.lit(1.0)
+        return rate_of(shares, self.history, self.floor) if self.domains.names else F.lit(1.0)
 
 
-def fit_mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, pull: float = PULL) -> Mix:
+def fit_mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, floor: float = 0.0) -> Mix:
     """Learn the domains from `labelled` (text, domain) and fit rates for all of `docs`.
 
     `weights` names the wanted share of each domain (in any unit; domains left out get 0, unknown
-    ones are ignored); without it all domains weigh the same.
+    ones are ignored); without it all domains weigh the same. No rate gets below `floor`.
     """
     domains = learn_domains(labelled)
     wanted = [float((weights or {}).get(d, 0.0 if weights else 1.0)) for d in domains.names]
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), measured(docs["text"], domains).alias("m"))
     table = durable(rows.select("doc_id", "m.tokens", "m.shares"))
-    history = fit_steps(table, [w / sum(wanted) for w in wanted], pull) if sum(wanted) > 0 else []
-    return Mix(domains, history, pull, table)
+    history = fit_steps(table, [w / sum(wanted) for w in wanted], floor) if sum(wanted) > 0 else []
+    return Mix(domains, history, floor, table)
 
 
 def mixed_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
@@ -186,16 +194,15 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]
 
 
 def apply_rates(docs: DataFrame, mix: Mix) -> DataFrame:
-    """`docs` with every row repeated as often as its rate asks for, never less than once.
+    """`docs` with every row as often as its rate asks for.
 
-    Rates are divided by their smallest value, so that over-represented documents stay once and
-    the others are repeated; the fraction of a rate is settled by a hash of id and text. The wanted
-    token shares hold in expectation and no document is lost. A document whose rate is 0 stays once.
+    The fraction of a rate is settled by a hash of id and text, so the fitted token totals hold in
+    expectation. With a mix fitted with floor 1 no row is lost and under-represented documents are
+    repeated; rows with equal id and text are repeated alike.
     """
     rate = fresh_name(docs, "rate_of_row")
-    least = mix.table.select(mix.rate(F.col("shares")).alias("r")).filter("r > 0").agg(F.min("r")).first()[0] or 1.0
     shares = measured(docs["text"], mix.domains)["shares"]
     rated = docs.withColumn(rate, F.get(F.transform(F.array(shares), mix.rate), F.lit(0)))
-    luck = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / float(1 << 30)
-    copies = F.greatest(F.lit(1), F.floor(F.col(rate) / least + luck).cast("int"))
-    return rated.withColumn(rate, F.explode(F.sequence(F.lit(1), copies))).drop(rate)
+    luck = F.pmod(F.xxhash64(docs["doc_id"], docs["text"]), F.lit(1 << 30)) / float(1 << 30)
+    copies = F.floor(F.col(rate) + luck).cast("int")
+    return rated.withColumn(rate, F.explode(F.array_repeat(F.lit(1), copies))).drop(rate)
