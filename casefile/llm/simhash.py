@@ -52,10 +52,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(bits).view(">i8")[0])
 
 
-@F.pandas_udf("long")
-def fingerprint_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield pd.Series([fingerprint(t) for t in batch], dtype="int64")
+def fingerprint_of(text: Column) -> Column:
+    """Fingerprints of whole texts, batch by batch."""
+
+    @F.pandas_udf("long")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([fingerprint(t) for t in batch], dtype="int64")
+
+    return run(text)
 
 
 def as_hex(value: Column) -> Column:
@@ -146,7 +151,7 @@ def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     Equal rows stay as they are; other columns are ignored; no rows give no rows.
     """
     texts = texts_of(docs, id_column, text_column)
-    rows = durable(texts.select("doc_id", fingerprint_of("text").alias("fp")))
+    rows = durable(texts.select("doc_id", fingerprint_of(F.col("text")).alias("fp")))
     prints = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     groups = prints.join(fingerprint_groups(prints), "fp", "left").select("fp", F.coalesce("head", "fp").alias("head"), "least")
     labels = groups.groupBy("head").agg(F.min("least").alias("component_id"))
