@@ -63,7 +63,7 @@ def learn_domains(labelled: DataFrame, rows: int = FIT_ROWS, markers: int = MARK
     everywhere = W.partitionBy("word")
     rated = seen.select("word", "domain", "n", F.sum("n").over(everywhere).alias("all"), F.element_at(size, F.col("domain")).alias("of"))
     rated = rated.withColumn("gap", F.col("n") / F.col("of") - (F.col("all") - F.col("n")) / F.greatest(F.lit(float(n)) - F.col("of"), F.lit(1.0)))
-    best = rated.withColumn("r", F.row_number().over(W.partitionBy("domain").orderBy(F.desc("gap"), "word"))).filter(F.col("r") <= markers)
+    best = rated.withColumn("r", F.row_number().over(W.partitionBy("domain").orderBy(F.desc("gap"), "word"))).filter((F.col("r") <= markers) & (F.col("gap") > 0))
     chosen: dict[str, list[str]] = {d: [] for d in names}
     for row in best.select("domain", "r", "word").collect():  # `markers` words of each domain
         chosen[row["domain"]].append(row["word"])

@@ -45,7 +45,37 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.withColumn("grown_shard", F.lit(None).cast("int"))
 
 
-@query("op4_url_filter")
+OP4_SQL = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages
+), parts AS (
+  SELECT page_id, rest,
+    coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS asked
+  FROM cut
+), named AS (
+  SELECT page_id, host, path, CASE WHEN rest IS NOT NULL THEN
+    regexp_replace(regexp_replace(host, ':[0-9]*$', ''), '^www\.', '') || regexp_replace(path, '/+$', '')
+    || CASE WHEN len(asked) > 0 THEN '?' || array_to_string(asked, '&') ELSE '' END END AS canonical,
+    CASE
+      WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+      WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+      WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+      WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/'
+    END AS rule
+  FROM parts
+), judged AS (
+  SELECT *, coalesce(canonical IN (SELECT canonical FROM named WHERE page_id % 50 = 0 AND canonical IS NOT NULL), false) AS listed FROM named
+)
+SELECT page_id, host, path, rule, canonical, listed,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN listed THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+
+@query("op4_url_filter", OP4_SQL)
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list of blocked URLs: those of the pages whose id is divisible by 50."""
     pages = table(spark, sf_dir, "pages")
@@ -58,14 +88,55 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
-@query("op8_warc")
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to, url, true AS block_ok
+FROM f
+"""
+
+
+@query("op8_warc", OP8_SQL)
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark)
     files = warc.write_archives(table(spark, sf_dir, "pages"), folder)
     return warc.read_archives(files, folder, keep_payload=False).drop("payload")
 
 
-@query("op9_quality_rules")
+OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+    list_filter(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), win AS (
+  SELECT r, i, array_to_string(words[i:i + 4], ' ') AS w FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM d)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS c FROM win) WHERE c > 1
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r
+), m AS (
+  SELECT doc_id, text, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN covered USING (r)
+), b AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (
+    100 * n_symbols > 10 * word_chars OR n_dup_lines * 10 > 3 * len(string_split(text, chr(10))) OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+    OR 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 50 * word_chars OR 100 * length(regexp_replace(text, '[^0-9]', '', 'g')) > 30 * word_chars
+    OR 100 * (length(text) - length(replace(text, '!', ''))) > 50 * n_words) AS kept
+FROM b
+"""
+
+
+@query("op9_quality_rules", OP9_SQL)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
