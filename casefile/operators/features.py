@@ -74,29 +74,29 @@ def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return encoder.fit(coded).transform(coded).drop(*index)
 
 
-def target_classes(df: DataFrame, target: str) -> list:
-    """Sorted distinct present target values; too many is an error."""
-    values = df.filter(~missing(df, target)).select(col(target).alias("v")).distinct()
-    found = [r["v"] for r in values.limit(MAX_CLASSES + 1).collect()]
+def _classes(df: DataFrame, target: str) -> list[tuple]:
+    """Sorted distinct present target values, each with its text as Spark writes it; too many is an error."""
+    values = df.filter(~missing(df, target)).select(col(target).alias("v"), col(target).cast("string").alias("t")).distinct()
+    found = [(r["v"], r["t"]) for r in values.limit(MAX_CLASSES + 1).collect()]
     if len(found) > MAX_CLASSES:
         raise ValueError(f"target '{target}' has more than {MAX_CLASSES} classes")
     return sorted(found)
 
 
+def target_classes(df: DataFrame, target: str) -> list:
+    """Sorted distinct present target values; too many is an error."""
+    return [value for value, _ in _classes(df, target)]
+
+
 def encode_target(df: DataFrame, target: str, name: str = "label") -> tuple[DataFrame, list]:
     """Append the class number 0..k-1 of the target, in sorted order, as a double.
 
     Rows without target are left out. Returns the class list as the way back.
     """
-    classes = target_classes(df, target)
-    model = StringIndexerModel.from_labels([str(_text(v)) for v in classes], inputCol="_target", outputCol=name, handleInvalid="error")
+    known = _classes(df, target)
+    model = StringIndexerModel.from_labels([text for _, text in known], inputCol="_target", outputCol=name, handleInvalid="error")
     texts = df.filter(~missing(df, target)).withColumn("_target", col(target).cast("string"))
-    return model.transform(texts).drop("_target"), classes
-
-
-def _text(value) -> str:
-    """How the value looks once cast to string."""
-    return str(value).lower() if isinstance(value, bool) else str(value)
+    return model.transform(texts).drop("_target"), [value for value, _ in known]
 
 
 class Preprocessor(Estimator):

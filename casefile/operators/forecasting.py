@@ -240,8 +240,12 @@ def backtest(
     points = durable(rolling_splits(series, keys, horizon, eval_days, splits))
     if points.isEmpty():
         raise ValueError("every series is too short for the evaluation window")
-    # a handful of rows per series meet each of its days
-    placed = series.join(points, list(keys)) if keys else series.join(points.withColumn("_k", F.lit(1)), F.lit(1) == F.col("_k")).drop("_k")
+    # a handful of rows per series meet each of its days; those of a single series are written into the plan
+    if keys:
+        placed = series.join(points, list(keys))
+    else:
+        fixed = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in row.asDict().items()]) for row in points.collect()])
+        placed = series.withColumn("_at", F.explode(fixed)).select(*series.columns, "_at.*")
     by = [*keys, "split"]
     train = placed.filter(F.col("pos") < F.col("start")).select(*[col(b) for b in by], "start", "pos", "ds", "y")
     test = placed.filter((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + horizon)).select(

@@ -12,9 +12,8 @@ from casefile.functions import dates
 from casefile.functions.hexgrid import add_hex_cell
 from casefile.functions.values import col, nan_to_null, present_number
 from casefile.operators import cleaning, profiling, schema
-from casefile.operators.sampling import simple_sample
 from casefile.operators.series import count_per_day
-from casefile.session import durable, stored
+from casefile.session import stored
 from casefile.sources import load_table, save_table
 from casefile.sources.tables import PARQUET_SUFFIX
 
@@ -66,14 +65,13 @@ def clean(raw: DataFrame, config: EdaConfig = EdaConfig(), as_of=None) -> tuple[
     return df, seen
 
 
-def profile(df: DataFrame, config: EdaConfig = EdaConfig(), key=None) -> dict[str, DataFrame]:
-    """Profile tables of a sample of `preview_rows` rows."""
-    preview = durable(simple_sample(df, config.preview_rows, key))
+def profile(df: DataFrame) -> dict[str, DataFrame]:
+    """Profile tables of all rows."""
     return {
-        "missingness": profiling.missingness(preview),
-        "histograms": profiling.numeric_histograms(preview),
-        "top_categories": profiling.top_categories_of(preview, TOP_CATEGORY_COLUMNS),
-        "association": profiling.mixed_association(preview),
+        "missingness": profiling.missingness(df),
+        "histograms": profiling.numeric_histograms(df),
+        "top_categories": profiling.top_categories_of(df, TOP_CATEGORY_COLUMNS),
+        "association": profiling.mixed_association(df),
     }
 
 
@@ -91,4 +89,4 @@ def run_eda(
         cleaned = stored(cleaned)
         if out_path:
             save_table(cleaned, out_path)
-    return cleaned, {**seen, **profile(cleaned, config, key)}
+    return cleaned, {**seen, **profile(cleaned)}

@@ -188,3 +188,15 @@ def test_run_eda_end_to_end(spark):
     assert tables["hour_day"].count() == 7
     assert tables["missingness"].agg(F.max("fraction")).first()[0] == 0.0
     assert {r["value"] for r in tables["top_categories"].collect()} == {"x", "y"}
+
+
+def test_large_numbers_as_classes(spark):
+    df = spark.createDataFrame([(1e10,), (2.5,), (None,), (1e10,)], "t double")
+    coded, classes = features.encode_target(df, "t")
+    assert classes == [2.5, 1e10] and sorted(r["label"] for r in coded.collect()) == [0.0, 1.0, 1.0]
+
+
+def test_estimators_have_their_defaults():
+    from casefile.operators.models import KernelSVM, SizedPerceptron
+
+    assert KernelSVM().getOrDefault("seed") == 42 and SizedPerceptron().getOrDefault("maxIter") == 500
