@@ -50,7 +50,7 @@ def j07(spark, sf):
 
 @query("j07_knn_graph_curves")
 def j07_curves(spark, sf):
-    return embedding.knn_graph(points(spark, sf), "vec_id", exact_rows=0)
+    return embedding.knn_graph(points(spark, sf), "vec_id", method="curves")
 
 
 @query("u04_graph_embedding")

@@ -93,3 +93,6 @@ class ClusterConfig:
     neighbours: int = 15
     embeddings: tuple[str, ...] = ("SVD50", "SVD2", "PCA2", "GRAPH2")
     noise_as_cluster: bool = True
+    # "euclidean" and "exact" compare all pairs of points; "squared" and "curves" are for large tables.
+    silhouette: str = "euclidean"
+    neighbour_search: str = "exact"

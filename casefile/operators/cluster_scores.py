@@ -13,17 +13,13 @@ from pyspark.sql import functions as F
 from casefile.functions.values import col
 from casefile.operators.cleaning import above_threshold
 from casefile.operators.clustering import dbscan, kmeans
+from casefile.operators.pairs import block_pairs, distances
 from casefile.operators.ranking import top_rows
-from casefile.session import BROADCAST_ROWS, durable
-
-# Up to this many points the pairwise Euclidean silhouette is computed; beyond it
-# only the closed form over squared distances is.
-EXACT_SILHOUETTE_ROWS = 20_000
-EXACT_SILHOUETTE_CELLS = 4_000_000
+from casefile.session import durable
 
 GRID_SCHEMA = """
 embedding string, algorithm string, config string, k int, eps double, min_samples int, embedding_dim int,
-silhouette double, calinski_harabasz double, davies_bouldin double, n_clusters bigint, n_noise bigint, combination string
+silhouette double, calinski_harabasz double, davies_bouldin double, n_clusters bigint, n_noise bigint, combination string, silhouette_measure string, error string
 """
 
 
@@ -42,50 +38,34 @@ def silhouette_squared(df: DataFrame, vec: str = "vec", cluster: str = "cluster"
     return ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(rows)
 
 
-def _is_small(df: DataFrame, vec: str, rows: int = EXACT_SILHOUETTE_ROWS) -> bool:
-    """Whether a table of vectors may be copied to every task."""
-    head = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.max(F.size(col(vec))).alias("d")).first()
-    return head["n"] <= rows and head["n"] * (head["d"] or 0) <= EXACT_SILHOUETTE_CELLS
-
-
-def silhouette(df: DataFrame, vec: str = "vec", cluster: str = "cluster", exact_rows: int = EXACT_SILHOUETTE_ROWS) -> float:
+def silhouette(df: DataFrame, vec: str = "vec", cluster: str = "cluster") -> float:
     """Mean silhouette over Euclidean distances, every pair of points.
 
-    The points are shared with all tasks, hence the check of their number.
+    Blocks of points meet in pairs, so the work and the rows moved grow with the square of the
+    points; `silhouette_squared` is the measure for large tables.
     """
-    rows = df.select(col(vec).cast("array<double>").alias("x"), col(cluster).cast("long").alias("c"))
-    if not _is_small(rows, "x", exact_rows):
-        raise ValueError("too many points to compare in pairs; use silhouette_squared")
-    local = rows.toPandas()
-    names, codes = np.unique(local["c"].to_numpy(), return_inverse=True)
-    matrix = np.stack(local["x"].to_numpy())
-    member = np.eye(len(names))[codes]
-    shared = df.sparkSession.sparkContext.broadcast((matrix, member, names))
-
-    def widths(batches):
-        points, belongs, labels = shared.value
-        sizes, norms = belongs.sum(axis=0), (points**2).sum(axis=1)
-        for batch in batches:
-            x, c = np.stack(batch["x"].to_numpy()), batch["c"].to_numpy()
-            total, count = 0.0, 0
-            # a few points at a time keep the distance block small
-            for at in range(0, len(x), 64):
-                part = x[at : at + 64]
-                d = np.sqrt(np.maximum((part**2).sum(axis=1)[:, None] + norms - 2 * part @ points.T, 0.0))
-                sums = d @ belongs
-                own = np.searchsorted(labels, c[at : at + 64])
-                line = np.arange(len(own))
-                inner = sums[line, own] / np.maximum(sizes[own] - 1, 1)
-                means = sums / sizes
-                means[line, own] = np.inf
-                outer = means.min(axis=1)
-                s = (outer - inner) / np.maximum(np.maximum(inner, outer), 1e-300)
-                total += float(np.where(sizes[own] > 1, s, 0.0).sum())
-                count += len(own)
-            yield pd.DataFrame({"total": [total], "count": [count]})
-
-    out = rows.mapInPandas(widths, "total double, count long").agg(F.sum("total"), F.sum("count")).first()
-    return out[0] / out[1]
+    rows = df.select(F.monotonically_increasing_id().alias("id"), col(cluster).cast("long").alias("c"), col(vec).cast("array<double>").alias("x"))
+    rows = durable(rows)
+
+    def sums(left, right):
+        if left.empty or right.empty:
+            return pd.DataFrame({"id": [], "own": [], "c": [], "d": []})
+        names, codes = np.unique(right["c"].to_numpy(), return_inverse=True)
+        d = distances(np.stack(left["x"].to_numpy()), np.stack(right["x"].to_numpy()))
+        d[left["id"].to_numpy()[:, None] == right["id"].to_numpy()[None, :]] = 0.0
+        wide = len(names)
+        return pd.DataFrame({
+            "id": np.repeat(left["id"].to_numpy(), wide), "own": np.repeat(left["c"].to_numpy(), wide),
+            "c": np.tile(names, len(left)), "d": (d @ np.eye(wide)[codes]).ravel(),
+        })
+
+    total = block_pairs(rows, "id").applyInPandas(sums, "id long, own long, c long, d double").groupBy("id", "own", "c").agg(F.sum("d").alias("d"))
+    met = total.join(rows.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "c")
+    own = F.col("c") == F.col("own")
+    inner = F.max(F.when(own, F.col("d") / F.greatest(F.col("n") - 1, F.lit(1))))
+    sides = met.groupBy("id").agg(inner.alias("a"), F.min(F.when(~own, F.col("d") / F.col("n"))).alias("b"), F.max(F.when(own, F.col("n"))).alias("n"))
+    width = (F.col("b") - F.col("a")) / F.greatest("a", "b", F.lit(1e-300))
+    return sides.agg(F.avg(F.when(F.col("n") > 1, width).otherwise(0.0))).first()[0]
 
 
 def cluster_moments(df: DataFrame, vec: str = "vec", cluster: str = "cluster") -> DataFrame:
@@ -118,37 +98,40 @@ def calinski_harabasz(moments: DataFrame) -> float | None:
 def davies_bouldin(df: DataFrame, moments: DataFrame, vec: str = "vec", cluster: str = "cluster") -> float | None:
     """Mean over clusters of the worst ratio of spreads to centre distance.
 
-    The centres are shared with all tasks, after a check of their number, and compared
-    cluster by cluster.
+    Blocks of centres meet in pairs, whatever the number of clusters.
     """
     centres = moments.select("cluster", "mean")
-    k = centres.count()
-    if k < 2:
-        return None
-    if k > BROADCAST_ROWS:
-        raise ValueError(f"{k} clusters are too many to compare their centres")
-    rows = df.select(col(vec).cast("array<double>").alias("x"), col(cluster).alias("cluster")).join(F.broadcast(centres), "cluster")
+    rows = df.select(col(vec).cast("array<double>").alias("x"), col(cluster).alias("cluster")).join(centres, "cluster")
     far = F.sqrt(F.aggregate(F.zip_with("x", "mean", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
-    table = durable(rows.groupBy("cluster").agg(F.avg(far).alias("s"), F.first("mean").alias("m")))
-    local = table.toPandas()
-    shared = df.sparkSession.sparkContext.broadcast((local["cluster"].to_numpy(), local["s"].to_numpy(), np.stack(local["m"].to_numpy())))
+    table = durable(rows.groupBy("cluster").agg(F.avg(far).alias("s"), F.first("mean").alias("x")))
+    if table.count() < 2:
+        return None
 
-    def worst(batches):
-        names, spreads, matrix = shared.value
-        for batch in batches:
-            ratios = []
-            for name, s, m in zip(batch["cluster"], batch["s"], batch["m"]):
-                d = np.sqrt(((matrix - m) ** 2).sum(axis=1))
-                d[names == name] = np.inf
-                ratios.append(np.divide(s + spreads, d, out=np.zeros_like(d), where=d > 0).max())
-            yield pd.DataFrame({"ratio": ratios})
+    def worst(left, right):
+        if left.empty or right.empty:
+            return pd.DataFrame({"place": [], "ratio": []})
+        x, y = np.stack(left["x"].to_numpy()), np.stack(right["x"].to_numpy())
+        ratios = []
+        for name, s, m in zip(left["cluster"], left["s"], x, strict=True):
+            d = np.sqrt(((y - m) ** 2).sum(axis=1))
+            d[(right["cluster"] == name).to_numpy()] = np.inf
+            ratios.append(np.divide(s + right["s"].to_numpy(), d, out=np.zeros_like(d), where=d > 0).max())
+        return pd.DataFrame({"place": left["place"], "ratio": ratios})
 
-    return table.mapInPandas(worst, "ratio double").agg(F.avg("ratio")).first()[0]
+    placed = table.select(F.xxhash64("cluster").alias("place"), "cluster", "s", "x")
+    found = block_pairs(placed, "cluster").applyInPandas(worst, "place long, ratio double")
+    return found.groupBy("place").agg(F.max("ratio").alias("ratio")).agg(F.avg("ratio")).first()[0]
 
 
-def cluster_scores(df: DataFrame, vec: str = "vec", cluster: str = "cluster", noise_as_cluster: bool = True) -> dict:
+SILHOUETTES = {"euclidean": silhouette, "squared": silhouette_squared}
+
+
+def cluster_scores(df: DataFrame, vec: str = "vec", cluster: str = "cluster", noise_as_cluster: bool = True, measure: str = "euclidean") -> dict:
     """All scores of one clustering. With one label only, or nothing but noise, there
-    are no scores and one cluster is reported. A score that fails is None."""
+    are no scores and one cluster is reported. `measure` says over which distances the
+    silhouette is taken: "euclidean" compares all pairs, "squared" is linear in the points."""
+    if measure not in SILHOUETTES:
+        raise ValueError(f"no silhouette is called {measure!r}: choose one of {sorted(SILHOUETTES)}")
     rows = df.select(col(vec).alias("vec"), col(cluster).alias("cluster"))
     counts = cluster_counts(rows).first()
     labels = counts["n_clusters"] + (1 if counts["n_noise"] else 0)
@@ -159,18 +142,10 @@ def cluster_scores(df: DataFrame, vec: str = "vec", cluster: str = "cluster", no
     out = {**empty, "n_clusters": counts["n_clusters"], "n_noise": counts["n_noise"]}
     if not noise_as_cluster and counts["n_clusters"] < 2:
         return out
-    small = _is_small(scored, "vec")
     moments = durable(cluster_moments(scored))
-    measures = {
-        "silhouette": lambda: silhouette(scored) if small else silhouette_squared(scored),
-        "calinski_harabasz": lambda: calinski_harabasz(moments),
-        "davies_bouldin": lambda: davies_bouldin(scored, moments),
-    }
-    for name, measure in measures.items():
-        try:
-            out[name] = measure()
-        except Exception:  # noqa: BLE001 - a score that cannot be computed is missing
-            out[name] = None
+    out["silhouette"] = SILHOUETTES[measure](scored)
+    out["calinski_harabasz"] = calinski_harabasz(moments)
+    out["davies_bouldin"] = davies_bouldin(scored, moments)
     return out
 
 
@@ -199,7 +174,8 @@ def parse_combination(label: F.Column) -> dict[str, F.Column]:
 def cluster_grid(embeddings: dict[str, DataFrame], id_col: str, config) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Every algorithm and setting on every embedding (tables of id and `vec`).
 
-    Returns the table of scores and the cluster labels of each combination.
+    Returns the table of scores and the cluster labels of each combination; one that failed
+    has no scores but its error.
     """
     rows, labels = [], {}
     spark = next(iter(embeddings.values())).sparkSession
@@ -208,19 +184,19 @@ def cluster_grid(embeddings: dict[str, DataFrame], id_col: str, config) -> tuple
         runs = [("KMeans", f"k={k}", k, None, None) for k in config.kmeans_sizes]
         runs += [("DBSCAN", f"eps={e}_min={config.dbscan_min_samples}", None, e, config.dbscan_min_samples) for e in config.dbscan_radii]
         for algorithm, setting, k, eps, least in runs:
+            label = f"{name} + {algorithm} ({setting})"
+            setting_of = (name, algorithm, setting, k, eps, least, dim)
             try:
                 if k:
                     found = kmeans(table, id_col, "vec", k, config.kmeans_starts, config.seed)
                 else:
                     found = durable(dbscan(table, id_col, "vec", eps, least))
-                s = cluster_scores(table.join(found, id_col), noise_as_cluster=config.noise_as_cluster)
-            except Exception:  # noqa: BLE001 - a setting that cannot run is left out
+                s = cluster_scores(table.join(found, id_col), noise_as_cluster=config.noise_as_cluster, measure=config.silhouette)
+            except Exception as error:  # noqa: BLE001 - a setting that cannot run is a row of the result
+                rows.append((*setting_of, *[None] * 5, label, config.silhouette, str(error).splitlines()[0] if str(error) else type(error).__name__))
                 continue
-            label = f"{name} + {algorithm} ({setting})"
             labels[label] = found
-            rows.append(
-                (name, algorithm, setting, k, eps, least, dim, s["silhouette"], s["calinski_harabasz"], s["davies_bouldin"], s["n_clusters"], s["n_noise"], label)
-            )
+            rows.append((*setting_of, s["silhouette"], s["calinski_harabasz"], s["davies_bouldin"], s["n_clusters"], s["n_noise"], label, config.silhouette, None))
     return spark.createDataFrame(rows, GRID_SCHEMA), labels
 
 

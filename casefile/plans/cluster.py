@@ -31,7 +31,7 @@ def build_embeddings(matrix: DataFrame, key: str, config: ClusterConfig) -> dict
     if "PCA2" in wanted:
         out["PCA2"] = durable(emb.pca2(rows).select(key, "vec"))
     if "GRAPH2" in wanted:
-        out["GRAPH2"] = emb.graph_embedding(wide, key, "vec", config.neighbours, seed=config.seed)
+        out["GRAPH2"] = emb.graph_embedding(wide, key, "vec", config.neighbours, seed=config.seed, method=config.neighbour_search)
     return out
 
 

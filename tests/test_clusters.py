@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from casefile.operators import cluster_scores as scores
-from casefile.operators import clustering, embedding
+from casefile.operators import clustering, embedding, pairs
 from casefile.operators.features import build_matrix
 from casefile.plans import run_quick_demo, run_unsupervised
 from casefile.session import scratch_folder
@@ -121,7 +121,7 @@ def test_neighbours_exact_and_along_curves(spark):
     want = np.sort(d, axis=1)[:, :5]
     exact = embedding.knn_graph(df, "id", k=5).toPandas().groupby("src")["dist"].apply(sorted)
     assert np.allclose(np.stack(exact.sort_index().to_numpy()), want)
-    near = embedding.knn_graph(df, "id", k=5, exact_rows=10).toPandas()
+    near = embedding.knn_graph(df, "id", k=5, method="curves").toPandas()
     assert (near.groupby("src").size() == 5).all() and (near["src"] != near["dst"]).all()
     found = np.stack(near.groupby("src")["dist"].apply(sorted).sort_index().to_numpy())
     assert np.isclose(found, want).mean() > 0.8
@@ -169,6 +169,30 @@ def test_scores_match_brute_force(spark):
     assert got["calinski_harabasz"] == pytest.approx(brute_scores(x[kept], c[kept])[1], rel=1e-6)
 
 
+def test_pairs_over_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pairs.block_pairs, "__defaults__", (32,))
+    x = clumps(4, 3, 150)
+    c = np.arange(150) % 50
+    df = frame_of(spark, x, cluster=c)
+    got = scores.cluster_scores(df)
+    assert (got["silhouette"], got["davies_bouldin"]) == pytest.approx((brute_scores(x, c)[0], brute_scores(x, c)[2]), rel=1e-6)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    near = embedding.knn_graph(df, "id", k=5).toPandas()
+    assert np.allclose(np.stack(near.groupby("src")["dist"].apply(sorted).sort_index().to_numpy()), np.sort(d, axis=1)[:, :5])
+    assert not near.duplicated(["src", "dst"]).any()
+
+
+def test_measures_are_chosen_by_name(spark):
+    x, c = clumps(3, 2, 60), np.arange(60) % 3
+    df = frame_of(spark, x, cluster=c)
+    assert scores.cluster_scores(df, measure="squared")["silhouette"] == pytest.approx(scores.silhouette_squared(df))
+    with pytest.raises(ValueError, match="no silhouette"):
+        scores.cluster_scores(df, measure="guess")
+    with pytest.raises(ValueError, match="no search"):
+        embedding.knn_graph(df, "id", method="guess")
+
+
 def test_scores_without_clusters(spark):
     x = np.zeros((10, 2))
     for value, noise in ((0, 0), (-1, 10)):
