@@ -97,18 +97,48 @@ def u06_all(spark, sf):
     return clustering.dbscan(points(spark, sf), "vec_id", "vec", 1.25)
 
 
-LABELLED = "WITH p AS (SELECT vec_id, label AS c, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
-LONG = f"""
-{LABELLED}, x AS (SELECT vec_id, c, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM p),
-n AS (SELECT c, count(*) AS n FROM p GROUP BY c),
-m AS (SELECT c, j, avg(x) AS m, avg(x * x) AS q FROM x GROUP BY c, j)
-"""
+def _long(label: str = "label") -> str:
+    return f"""
+    WITH p AS (SELECT vec_id, {label} AS c, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    x AS (SELECT vec_id, c, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM p),
+    n AS (SELECT c, count(*) AS n FROM p GROUP BY c),
+    m AS (SELECT c, j, avg(x) AS m, avg(x * x) AS q FROM x GROUP BY c, j)
+    """
+
+
+def _silhouette_sql(label: str = "label") -> str:
+    return f"""
+    WITH p AS (SELECT vec_id, {label} AS c, CAST(embedding AS DOUBLE[64]) AS v FROM embeddings),
+    d AS (SELECT a.vec_id, a.c, b.c AS other, sum(array_distance(a.v, b.v)) AS s, count(*) AS n FROM p a JOIN p b ON true GROUP BY ALL),
+    ab AS (SELECT vec_id, max(s / (n - 1)) FILTER (WHERE c = other) AS a, min(s / n) FILTER (WHERE c <> other) AS b FROM d GROUP BY vec_id)
+    SELECT round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM ab
+    """
+
+
+def _calinski_sql(label: str = "label") -> str:
+    return f"""
+    {_long(label)}, g AS (SELECT j, avg(x) AS g FROM x GROUP BY j),
+    between_ AS (SELECT sum(n.n * (m.m - g.g) ** 2) AS b FROM m JOIN n ON m.c = n.c JOIN g ON m.j = g.j),
+    within_ AS (SELECT sum((x.x - m.m) ** 2) AS w FROM x JOIN m ON x.c = m.c AND x.j = m.j),
+    size AS (SELECT count(*) AS k, sum(n) AS t FROM n)
+    SELECT round((b / (k - 1)) / (w / (t - k)), 6) AS calinski_harabasz FROM between_, within_, size
+    """
+
+
+def _davies_sql(label: str = "label") -> str:
+    return f"""
+    {_long(label)}, own AS (SELECT x.vec_id, x.c, sqrt(sum((x.x - m.m) ** 2)) AS d FROM x JOIN m ON x.c = m.c AND x.j = m.j GROUP BY x.vec_id, x.c),
+    s AS (SELECT c, avg(d) AS s FROM own GROUP BY c),
+    pairs AS (SELECT a.c AS c, b.c AS o, sqrt(sum((a.m - b.m) ** 2)) AS d FROM m a JOIN m b ON a.j = b.j AND a.c <> b.c GROUP BY ALL),
+    worst AS (SELECT p.c, max((s1.s + s2.s) / p.d) AS r FROM pairs p JOIN s s1 ON p.c = s1.c JOIN s s2 ON p.o = s2.c GROUP BY p.c)
+    SELECT round(avg(r), 6) AS davies_bouldin FROM worst
+    """
 
 
 @query(
     "u07_silhouette_sq",
     f"""
-    {LONG}, dist AS (
+    {_long()}, dist AS (
       SELECT x.vec_id, x.c, m.c AS other, sum(x.x * x.x - 2 * x.x * m.m + m.q) AS d FROM x JOIN m ON x.j = m.j GROUP BY ALL),
     ab AS (SELECT d.vec_id, max(d.d * n.n / (n.n - 1)) FILTER (WHERE d.c = d.other) AS a, min(d.d) FILTER (WHERE d.c <> d.other) AS b
            FROM dist d JOIN n ON d.other = n.c GROUP BY d.vec_id)
@@ -120,44 +150,18 @@ def u07_sq(spark, sf):
     return spark.createDataFrame([(round(value, 6),)], "silhouette_sq double")
 
 
-@query(
-    "u07_silhouette",
-    """
-    WITH p AS (SELECT vec_id, label AS c, CAST(embedding AS DOUBLE[64]) AS v FROM embeddings),
-    d AS (SELECT a.vec_id, a.c, b.c AS other, sum(array_distance(a.v, b.v)) AS s, count(*) AS n FROM p a JOIN p b ON true GROUP BY ALL),
-    ab AS (SELECT vec_id, max(s / (n - 1)) FILTER (WHERE c = other) AS a, min(s / n) FILTER (WHERE c <> other) AS b FROM d GROUP BY vec_id)
-    SELECT round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM ab
-    """,
-)
+@query("u07_silhouette", _silhouette_sql())
 def u07(spark, sf):
     return spark.createDataFrame([(round(scores.silhouette(points(spark, sf), "vec", "label"), 6),)], "silhouette double")
 
 
-@query(
-    "u08_calinski_harabasz",
-    f"""
-    {LONG}, g AS (SELECT j, avg(x) AS g FROM x GROUP BY j),
-    between_ AS (SELECT sum(n.n * (m.m - g.g) ** 2) AS b FROM m JOIN n ON m.c = n.c JOIN g ON m.j = g.j),
-    within_ AS (SELECT sum((x.x - m.m) ** 2) AS w FROM x JOIN m ON x.c = m.c AND x.j = m.j),
-    size AS (SELECT count(*) AS k, sum(n) AS t FROM n)
-    SELECT round((b / (k - 1)) / (w / (t - k)), 6) AS calinski_harabasz FROM between_, within_, size
-    """,
-)
+@query("u08_calinski_harabasz", _calinski_sql())
 def u08(spark, sf):
     value = scores.calinski_harabasz(scores.cluster_moments(points(spark, sf), "vec", "label"))
     return spark.createDataFrame([(round(value, 6),)], "calinski_harabasz double")
 
 
-@query(
-    "u09_davies_bouldin",
-    f"""
-    {LONG}, own AS (SELECT x.vec_id, x.c, sqrt(sum((x.x - m.m) ** 2)) AS d FROM x JOIN m ON x.c = m.c AND x.j = m.j GROUP BY x.vec_id, x.c),
-    s AS (SELECT c, avg(d) AS s FROM own GROUP BY c),
-    pairs AS (SELECT a.c AS c, b.c AS o, sqrt(sum((a.m - b.m) ** 2)) AS d FROM m a JOIN m b ON a.j = b.j AND a.c <> b.c GROUP BY ALL),
-    worst AS (SELECT p.c, max((s1.s + s2.s) / p.d) AS r FROM pairs p JOIN s s1 ON p.c = s1.c JOIN s s2 ON p.o = s2.c GROUP BY p.c)
-    SELECT round(avg(r), 6) AS davies_bouldin FROM worst
-    """,
-)
+@query("u09_davies_bouldin", _davies_sql())
 def u09(spark, sf):
     df = points(spark, sf)
     value = scores.davies_bouldin(df, scores.cluster_moments(df, "vec", "label"), "vec", "label")
@@ -175,10 +179,18 @@ def a17(spark, sf):
     return scores.cluster_counts(points(spark, sf).selectExpr(f"{NOISY} AS cluster"))
 
 
-@query("u10_cluster_scores")
+@query(
+    "u10_cluster_scores",
+    f"""
+    SELECT ({_silhouette_sql(NOISY)}) AS silhouette, ({_calinski_sql(NOISY)}) AS calinski_harabasz, ({_davies_sql(NOISY)}) AS davies_bouldin,
+      count(DISTINCT {NOISY}) - 1 AS n_clusters, count(*) FILTER (WHERE {NOISY} = -1) AS n_noise
+    FROM embeddings
+    """,
+)
 def u10(spark, sf):
     found = scores.cluster_scores(points(spark, sf).selectExpr("vec", f"{NOISY} AS cluster"))
-    return spark.createDataFrame([tuple(found.values())], "silhouette double, calinski_harabasz double, davies_bouldin double, n_clusters bigint, n_noise bigint")
+    row = tuple(round(v, 6) if isinstance(v, float) else v for v in found.values())
+    return spark.createDataFrame([row], "silhouette double, calinski_harabasz double, davies_bouldin double, n_clusters bigint, n_noise bigint")
 
 
 @query(
