@@ -71,7 +71,7 @@ def identifier(samples: dict[str, bytes], level: int = LEVEL):
 
     def identify(text: str | None) -> tuple[str, float, bool]:
         words = plain_words(text) if names and text else ""
-        if not words:
+        if not any(map(str.isalpha, words)):  # signs such as a half count as word characters but are no letters
             return UNKNOWN, 0.0, False
         pieces = [words[at : at + PIECE].encode() for at in range(0, len(words), PIECE)]
         sizes = [sum(len(s.compress(piece)) for piece in pieces) for s in squeezers]

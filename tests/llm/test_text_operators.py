@@ -162,10 +162,10 @@ def test_bloom_filter_lets_all_listed_keys_through(spark):
 
 def test_language_identification(spark, odd, none):
     english, german = "the house and the tree are with that man from the city", "das Haus und der Baum sind mit dem Mann aus der Stadt"
-    docs = spark.createDataFrame([(i, (english if i % 2 else german) + f" {i}", "en" if i % 2 else "de", "s", 0) for i in range(80)] + [(90, None, "en", "s", 0), (91, "12 ... !", "en", "s", 0), (92, english.upper(), None, "s", 0)], "doc_id long, text string, lang string, source string, score long")
+    docs = spark.createDataFrame([(i, (english if i % 2 else german) + f" {i}", "en" if i % 2 else "de", "s", 0) for i in range(80)] + [(90, None, "en", "s", 0), (91, "12 ... !", "en", "s", 0), (93, "\u00bd \u00b2 1", "en", "s", 0), (92, english.upper(), None, "s", 0)], "doc_id long, text string, lang string, source string, score long")
     got = {r["doc_id"]: r for r in language_id.learn_and_identify(docs).collect()}
     assert all(got[i]["lang_pred"] == ("en" if i % 2 else "de") for i in range(80)) and got[92]["lang_pred"] == "en"
-    assert got[90]["lang_pred"] == got[91]["lang_pred"] == "und" and got[90]["score"] == 0
+    assert got[90]["lang_pred"] == got[91]["lang_pred"] == got[93]["lang_pred"] == "und" and got[90]["score"] == 0
     assert all(got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) for i in got)
     assert language_id.learn_and_identify(odd).count() == odd.count() and language_id.learn_and_identify(none).count() == 0
 
