@@ -53,6 +53,19 @@ def j07_curves(spark, sf):
     return embedding.knn_graph(points(spark, sf), "vec_id", method="curves")
 
 
+RECALL = 0.95
+
+
+@query("j07_recall", f"SELECT count(*) AS n_points, 15 * count(*) AS n_neighbours, {RECALL}::DOUBLE AS floor, true AS reached FROM embeddings")
+def j07_recall(spark, sf):
+    """How many of the exact neighbours the search along curves finds."""
+    exact = embedding.knn_graph(points(spark, sf), "vec_id").select("src", "dst")
+    found = embedding.knn_graph(points(spark, sf), "vec_id", method="curves").select("src", "dst", F.lit(1).alias("hit"))
+    held = exact.join(found, ["src", "dst"], "left")
+    n = F.count(F.lit(1))
+    return held.agg(F.count_distinct("src").alias("n_points"), n.alias("n_neighbours"), F.lit(RECALL).alias("floor"), (F.count("hit") >= n * RECALL).alias("reached"))
+
+
 @query("u04_graph_embedding")
 def u04(spark, sf):
     return embedding.graph_embedding(points(spark, sf), "vec_id")

@@ -10,7 +10,7 @@ from casefile.catalog.tables import WITH_INCIDENTS, incidents, table
 from casefile.config import EdaConfig, MLConfig
 from casefile.operators import explain, features
 from casefile.operators.models import get_model_and_param_space
-from casefile.operators.training import evaluate_holdout, fit_pipeline, run_single_model, with_class_weight
+from casefile.operators.training import evaluate_holdout, fit_pipeline, prepare_training, run_single_model, with_class_weight
 from casefile.operators.sampling import split_train_test
 from casefile.plans import quick_compare, run_eda
 from casefile.session import durable, spread, stored
@@ -120,12 +120,18 @@ def _rows(spark, sf):
     return lines.select(key.alias("row_key"), *FEATURES, F.when(large, "large").otherwise("small").alias(TARGET))
 
 
-def _metrics_sql(name: str) -> str:
+LABELLED_SQL = """
+k AS (SELECT *, concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_key FROM lineitem),
+t AS (SELECT (l_quantity + 100 * l_discount + CASE WHEN l_returnflag = 'R' THEN 10 ELSE 0 END > 34) <> (substr(md5(row_key), 1, 1) = '0') AS large FROM k)
+"""
+
+
+def _metrics_sql(name: str, *more: str) -> str:
+    metrics = ["accuracy", "avg_precision", "macro_f1", "roc_auc", *more]
     return f"""
-    WITH k AS (SELECT *, concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_key FROM lineitem),
-    t AS (SELECT (l_quantity + 100 * l_discount + CASE WHEN l_returnflag = 'R' THEN 10 ELSE 0 END > 34) <> (substr(md5(row_key), 1, 1) = '0') AS large FROM k)
+    WITH {LABELLED_SQL}
     SELECT '{name}' AS model, metric, {FLOOR}::DOUBLE AS floor, true AS reached, count(*) FILTER (WHERE large) AS n_large, count(*) FILTER (WHERE NOT large) AS n_small
-    FROM t, (SELECT unnest(['accuracy', 'avg_precision', 'macro_f1', 'roc_auc']) AS metric) GROUP BY metric
+    FROM t, (SELECT unnest({metrics}) AS metric) GROUP BY metric
     """
 
 
@@ -134,7 +140,7 @@ def _fit(spark, sf, name: str, params: dict):
     encoded, classes = features.encode_target(_rows(spark, sf), TARGET)
     train, test = split_train_test(spread(stored(encoded)), "label", 0.2, "row_key")
     train = spread(stored(train))
-    spec = get_model_and_param_space(name, len(classes), train.count())
+    spec = get_model_and_param_space(name, len(classes))
     weighted = with_class_weight(train, spec)
     preprocessor = features.build_preprocessor(weighted, ["row_key", TARGET, "label", "weight"])
     return fit_pipeline(weighted, preprocessor, spec, params), test
@@ -143,7 +149,10 @@ def _fit(spark, sf, name: str, params: dict):
 def _metrics(spark, sf, name: str, params: dict):
     """For each metric on the held-out rows, whether it reaches the floor; with the size of both classes."""
     model, test = _fit(spark, sf, name, params)
-    metrics, _ = evaluate_holdout(model, test, True)
+    return _against_floor(spark, sf, name, evaluate_holdout(model, test, True)[0])
+
+
+def _against_floor(spark, sf, name: str, metrics: dict):
     held = {r[TARGET]: r["count"] for r in _rows(spark, sf).groupBy(TARGET).count().collect()}
     rows = [(name, k, FLOOR, bool(v >= FLOOR), held.get("large", 0), held.get("small", 0)) for k, v in sorted(metrics.items())]
     return spark.createDataFrame(rows, "model string, metric string, floor double, reached boolean, n_large long, n_small long")
@@ -184,6 +193,7 @@ def k06(spark, sf):
     return _metrics(spark, sf, "xgb", {"n_estimators": 10, "max_depth": 3, "subsample": 0.8})
 
 
+# Small grids for the comparison of four models.
 SMALL_GRIDS = {
     "logreg": {"C": (0.01, 1.0)},
     "rf": {"n_estimators": (10,), "max_depth": (5,)},
@@ -192,13 +202,25 @@ SMALL_GRIDS = {
 }
 
 
-@query("k11_train_one")
+@query("k11_train_one", _metrics_sql("logreg", "cv_score"))
 def k11(spark, sf):
-    config = MLConfig(n_splits=3, sample_first=False, test_size=0.2, search_type="grid")
-    df = _rows(spark, sf)
-    r = run_single_model(df.drop("row_key"), TARGET, "logreg", config, grid=SMALL_GRIDS["logreg"])
-    rows = [("cv_score", float(r.cv_score)), *[(k, float(v)) for k, v in sorted(r.metrics.items())]]
-    return spark.createDataFrame(rows, "metric string, value double")
+    """The whole grid over five folds, fitted on all rows that are not held out."""
+    config = MLConfig(sample_first=False, test_size=0.2, search_type="grid")
+    r = run_single_model(_rows(spark, sf), TARGET, "logreg", config, "row_key")
+    return _against_floor(spark, sf, "logreg", {"cv_score": r.cv_score, **r.metrics})
+
+
+HOLDOUT_SQL = f"""
+WITH {LABELLED_SQL}
+SELECT CASE WHEN large THEN 'large' ELSE 'small' END AS {TARGET}, round(count(*) * 0.2)::BIGINT AS n_test FROM t GROUP BY large
+"""
+
+
+@query("e08_holdout", HOLDOUT_SQL)
+def e08(spark, sf):
+    """Rows of each class that a comparison judges its models on, while it fits them on a sample."""
+    data = prepare_training(_rows(spark, sf), TARGET, MLConfig(test_size=0.2), "row_key")
+    return data.test.groupBy(TARGET).agg(F.count(F.lit(1)).alias("n_test"))
 
 
 @query("k12_compare_models")
@@ -226,10 +248,10 @@ def i02(spark, sf):
 @query("i04_learning_curve")
 def i04(spark, sf):
     encoded, classes = features.encode_target(_rows(spark, sf), TARGET)
-    spec = get_model_and_param_space("logreg", len(classes), 1000)
+    spec = get_model_and_param_space("logreg", len(classes))
     rows = durable(with_class_weight(encoded, spec))
     preprocessor = features.build_preprocessor(rows, ["row_key", TARGET, "label", "weight"])
-    return explain.learning_curve(rows, preprocessor, spec, {"C": 1.0}, sizes=(0.1, 0.55, 1.0), folds=3, key="row_key")
+    return explain.learning_curve(rows, preprocessor, spec, {"C": 1.0}, key="row_key")
 
 
 @query("i05_linear_attributions")

@@ -422,6 +422,15 @@ def c09(spark, sf):
     return cleaning.one_class_filter(df, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
+@query("c09_one_class_share", "SELECT count(*) AS n_rows, true AS share_kept FROM lineitem")
+def c09_share(spark, sf):
+    """Whether the filter leaves out one row in a hundred, give or take one."""
+    n = table(spark, sf, "lineitem").select(F.count(F.lit(1)).alias("n_rows"))
+    kept = c09(spark, sf).select(F.count(F.lit(1)).alias("kept"))
+    near = F.abs(F.col("n_rows") * 0.99 - F.col("kept")) <= 1
+    return n.withColumn("one", F.lit(1)).join(kept.withColumn("one", F.lit(1)), "one").select("n_rows", near.alias("share_kept"))
+
+
 @query("c10_above_threshold", f"WITH s AS ({SCORES_SQL}) SELECT doc_id, round(score, 9) AS score FROM s WHERE score >= 0.6")
 def c10(spark, sf):
     return cleaning.above_threshold(scores(spark, sf), "score").select("doc_id", F.round("score", 9).alias("score"))

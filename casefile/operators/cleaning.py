@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from casefile.functions import dates
 from casefile.functions.values import clip, col, present_number
 from casefile.operators.quantiles import EXACT_ROWS, quantiles
-from casefile.session import stored
+from casefile.session import durable
 
 # The coordinate box of the audit and the issue names it reports.
 LAT_RANGE = (33.3, 34.9)
@@ -181,7 +181,7 @@ def one_class_filter(
     """Leave out the share `nu` of rows least like the rest; unchanged without columns."""
     if not columns:
         return df
-    # written once, so that the scores are not computed again for the threshold
-    scored = stored(one_class_scores(df, columns, gamma, features, seed))
-    edge = quantiles(scored, ["_density"], [nu], exact_rows)["_density"][0]
+    # only the scores are written for the threshold; rounding keeps them equal when they are computed again
+    scored = one_class_scores(df, columns, gamma, features, seed).withColumn("_density", F.round("_density", 12))
+    edge = quantiles(durable(scored.select("_density")), ["_density"], [nu], exact_rows)["_density"][0]
     return scored.filter(F.col("_density") >= F.lit(edge)).drop("_density")

@@ -110,7 +110,7 @@ def learning_curve(
         part = rows.filter((F.col("_fold") != fold) & (F.col("_share") < size))
         prepared = preprocessor.fit(part)
         train = prepared.transform(part).persist()
-        fitted = spec.build(params).fit(train)
+        fitted = spec.on(train).build(params).fit(train)
         train_score = metric_value(fitted.transform(train), scoring)
         valid = prepared.transform(rows.filter(F.col("_fold") == fold))
         train.unpersist()

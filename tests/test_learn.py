@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from casefile.config import EdaConfig, MLConfig
 from casefile.operators import explain, features
 from casefile.operators.models import draw_points, get_model_and_param_space
-from casefile.operators.training import compare_models, fit_pipeline, run_single_model, with_class_weight
+from casefile.operators.training import compare_models, fit_pipeline, prepare_training, run_single_model, with_class_weight
 from casefile.plans import quick_demo, run_eda
 from casefile.session import durable, scratch_folder
 from casefile.sources import save_table
@@ -66,6 +66,8 @@ def test_mode_ties_take_the_smallest(spark):
 
 def test_registry():
     assert len(get_model_and_param_space("LR").points()) == 10
+    distinct = {"rf": 3 * 3 * 3 * 3, "hgb": 3 * 3 * 3, "svm": 5 * 3, "mlp": 4}
+    assert {name: len(get_model_and_param_space(name).points()) for name in distinct} == distinct
     assert get_model_and_param_space("random_forest").unmapped == ("min_samples_split",)
     assert len(draw_points(get_model_and_param_space("xgb").points(), "random", 30, 1)) == 30
     assert len(draw_points(get_model_and_param_space("logreg").points(), "random", 30, 1)) == 10
@@ -94,6 +96,19 @@ def test_all_models_learn(table):
     assert all(r["roc_auc"] > 0.8 and r["avg_precision"] > 0.5 for r in got[:-1])
 
 
+def test_every_held_out_row_is_judged(spark, table):
+    data = prepare_training(table, "y", MLConfig(n_splits=2, test_size=0.25, sample_n=40), "id")
+    # the 12 rows without target belong to neither side
+    assert data.test.count() == 0.25 * (table.count() - 12) and data.train.count() <= 40
+    assert data.test.join(data.train, "id").isEmpty()
+
+
+def test_strength_follows_the_fitted_rows(spark):
+    rows = spark.range(30).select(F.lit(2.0).alias("weight"))
+    spec = get_model_and_param_space("logreg", n_rows=5).on(rows)
+    assert spec.build({"C": 0.5}).getRegParam() == 1 / 30
+
+
 def test_three_classes_fall_back_to_accuracy(spark, table):
     three = table.filter("colour is not null").drop("y")
     config = MLConfig(n_splits=2, test_size=0.25)
