@@ -1,9 +1,11 @@
 """Benchmark passages in a corpus, also with other numbers, names and units.
 
 Words become templates: numbers, names and units turn into typed placeholders. All windows of a
-benchmark's templates are joined by hash with those of the documents. A run of windows along
-one alignment counts only if its slots were filled consistently: equal values of the item stand
-for equal values of the document, and different ones for different ones.
+benchmark's templates are joined by hash with those of the documents. Along one alignment equal
+values of the item should stand for equal values of the document, and different ones for
+different ones: where a value has several partners, the one at most places is right (then the
+equal one, then the first). Windows with another partner do not count, unless they are equal
+word by word.
 
 Documents are cut into windows where they are; a bitmap of fixed size, made of all benchmark
 windows, lets through those that may match, so that only few rows are moved and compared.
@@ -80,15 +82,16 @@ class Template:
     def word(self, i: int) -> str:
         return self.low[self.starts[i] : self.ends[i]].decode("utf-8", "replace")
 
-    def window(self, at: int, width: int) -> tuple[str, list[str]]:
-        """Template of a window, and the values in its slots."""
-        words, slots = [], []
+    def window(self, at: int, width: int) -> tuple[str, list[str], list[int]]:
+        """Template of a window, the values in its slots, and the places of these."""
+        words, slots, places = [], [], []
         for i in range(at, at + width):
             kind = self.kinds[i]
             words.append((self.word(i), NUM, NAME, UNIT)[kind])
             if kind:
                 slots.append(f"{kind}:{self.word(i)}")
-        return " ".join(words), slots
+                places.append(i)
+        return " ".join(words), slots, places
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of windows with enough literal words, and their hashes."""
@@ -149,7 +152,7 @@ def template(text: str | None) -> Template:
 
 
 def item_windows(benchmark: DataFrame, width: int = WINDOW, id_column: str = "item_id") -> DataFrame:
-    """(item_id, pos, n, width, window, slots, spot): the template windows of every item, `n` of them.
+    """(item_id, pos, n, width, window, slots, places, spot): the template windows of every item, `n` of them.
 
     An item shorter than a window is one window of its own width. `spot` is the bit of the window
     in the bitmap. Null, empty and wordless items have no windows.
@@ -164,13 +167,13 @@ def item_windows(benchmark: DataFrame, width: int = WINDOW, id_column: str = "it
                 at, hashes = t.windows(wide) if wide else ([], [])
                 for p, h in zip(at, hashes, strict=True):
                     rows.append((item, int(p), len(at), wide, *t.window(p, wide), int(h >> np.uint64(64 - BITMAP_BITS))))
-            names = ["item_id", "pos", "n", "width", "window", "slots", "spot"]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.int32()]
+            names = ["item_id", "pos", "n", "width", "window", "slots", "places", "spot"]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32()]
             columns = zip(*rows, strict=True) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     items = benchmark.select(benchmark[id_column].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text"))
-    return items.mapInArrow(cut, "item_id long, pos int, n int, width int, window string, slots array<string>, spot int")
+    return items.mapInArrow(cut, "item_id long, pos int, n int, width int, window string, slots array<string>, places array<int>, spot int")
 
 
 def _bitmap(windows: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -191,7 +194,7 @@ def text_key(text: Column) -> Column:
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: float = SHARE, enough: int = ENOUGH) -> DataFrame:
     """(key, item_id, coverage): benchmark items found in the text whose `text_key` is `key`.
 
-    An item is found if consistent runs hold at least `share` of its windows or `enough` of them.
+    An item is found if consistent windows are at least `share` of its windows or `enough` of them.
     """
     spark = docs.sparkSession
     items = durable(item_windows(benchmark, width))
@@ -210,20 +213,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: flo
                     at, hashes = t.windows(wide)
                     for p in at[known[hashes >> np.uint64(64 - BITMAP_BITS)]].tolist():
                         key = key or hashlib.md5((text or "").encode("utf-8", "surrogatepass")).hexdigest()
-                        rows.append((key, p, *t.window(p, wide)))
+                        rows.append((key, p, *t.window(p, wide)[:2]))
             columns = zip(*rows, strict=True) if rows else [[]] * 4
             kinds = [pa.string(), pa.int32(), pa.string(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "at", "window", "filled"])
 
     found = docs.select(docs["text"].cast("string").alias("text")).mapInArrow(scan, "key string, at int, window string, filled array<string>")
     found = found.dropDuplicates(["key", "at", "window"])
-    met = found.join(items.select("item_id", "pos", "n", "window", "slots"), "window")
-    met = durable(met.select("key", "item_id", "n", "pos", (F.col("at") - F.col("pos")).alias("shift"), "slots", "filled"))
+    met = found.join(items.select("item_id", "pos", "n", "window", "slots", "places"), "window")
+    met = durable(met.select("key", "item_id", "n", "pos", (F.col("at") - F.col("pos")).alias("shift"), "slots", "filled", "places"))
     run = ["key", "item_id", "shift"]
-    pairs = met.select(*run, F.explode(F.arrays_zip("slots", "filled")).alias("s")).select(*run, "s.slots", "s.filled").distinct()
-    odd = pairs.groupBy(run).agg(F.count(F.lit(1)).alias("both"), F.count_distinct("slots").alias("one"), F.count_distinct("filled").alias("two"))
-    odd = odd.filter("both > one OR both > two").select(*run)
-    even = met.join(odd, run, "left_anti")
+    pairs = met.select(*run, F.explode(F.arrays_zip("slots", "filled", "places")).alias("s")).select(*run, "s.*").groupBy(*run, "slots", "filled")
+    pairs = pairs.agg(F.struct(F.count_distinct("places").alias("n"), F.expr("slots = filled").alias("same"), (-F.min("places")).alias("first")).alias("rank"))
+    # what has a better partner on either side is odd
+    one = pairs.groupBy(*run, "slots").agg(F.max("rank").alias("top_one"))
+    two = pairs.groupBy(*run, "filled").agg(F.max("rank").alias("top_two"))
+    odd = pairs.join(one, [*run, "slots"]).join(two, [*run, "filled"]).filter("rank < top_one OR rank < top_two")
+    odd = odd.groupBy(*run).agg(F.collect_set(F.struct("slots", "filled")).alias("odd"))
+    used = F.arrays_zip("slots", "filled")
+    even = met.join(odd, run, "left").filter(F.col("odd").isNull() | F.expr("slots = filled") | ~F.arrays_overlap(used, "odd"))
     held = even.groupBy("key", "item_id").agg(F.count_distinct("pos").alias("held"), F.first("n").alias("n"))
     needed = F.least(F.ceil(F.col("n") * share), F.lit(enough))
     return held.filter(F.col("held") >= needed).select("key", "item_id", (F.col("held") / F.col("n")).alias("coverage"))
