@@ -5,7 +5,7 @@ benchmark's templates are joined by hash with those of the documents. Along one
 values of the item should stand for equal values of the document, and different ones for
 different ones: where a value has several partners, the one at most places is right (then the
 equal one, then the first). Windows with another partner do not count, unless they are equal
-word by word.
+word by word. Windows with few literal words are joined by their words as they are.
 
 Documents are cut into windows where they are; a bitmap of fixed size, made of all benchmark
 windows, lets through those that may match, so that only few rows are moved and compared.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from casefile.session import durable
 
 WINDOW = 8
-# Words of a window that must be literal, as a share of it.
+# Words of a window that must be literal, as a share of it; otherwise it is joined as it is, with all its values.
 LITERAL = 0.5
 # Windows of an item that must be found: this share, but never more than so many.
 SHARE, ENOUGH = 0.5, 13
@@ -71,10 +71,11 @@ def _word_hashes(b: np.ndarray, word: np.ndarray, starts: np.ndarray) -> np.ndar
 
 @dataclass
 class Template:
-    """Words of a text: hashes with placeholders in place, 0 literal, 1 number, 2 name, 3 unit, and where they are."""
+    """Words of a text: hashes with placeholders in place and without, 0 literal, 1 number, 2 name, 3 unit, and where they are."""
 
     low: bytes
     hashes: np.ndarray
+    plain: np.ndarray
     kinds: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
@@ -83,8 +84,10 @@ class Template:
         return self.low[self.starts[i] : self.ends[i]].decode("utf-8", "replace")
 
     def window(self, at: int, width: int) -> tuple[str, list[str], list[int]]:
-        """Template of a window, the values in its slots, and the places of these."""
+        """Template of a window, the values in its slots, and the places of these; without enough literal words its words and no slots."""
         words, slots, places = [], [], []
+        if np.count_nonzero(self.kinds[at : at + width] == 0) < LITERAL * width:
+            return " ".join(self.word(i) for i in range(at, at + width)), slots, places
         for i in range(at, at + width):
             kind = self.kinds[i]
             words.append((self.word(i), NUM, NAME, UNIT)[kind])
@@ -94,16 +97,16 @@ class Template:
         return " ".join(words), slots, places
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of windows with enough literal words, and their hashes."""
+        """Hashes of all windows, and which of them have enough literal words to be templates."""
         n = len(self.hashes) - width + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
+        literal = np.concatenate([[0], np.cumsum(self.kinds == 0)])
+        open_ = literal[width:] - literal[:n] >= LITERAL * width
         total = np.full(n, np.uint64(width))
         for k in range(width):
-            total = total * _STEP + self.hashes[k : k + n]
-        literal = np.concatenate([[0], np.cumsum(self.kinds == 0)])
-        at = np.flatnonzero(literal[width:] - literal[:n] >= LITERAL * width)
-        return at, _mix(total[at])
+            total = total * _STEP + np.where(open_, self.hashes[k : k + n], self.plain[k : k + n])
+        return _mix(total), open_
 
 
 def _constant(words: list[str]) -> np.ndarray:
@@ -143,16 +146,15 @@ def template(text: str | None) -> Template:
             number = digit[starts] | np.isin(h, numbers)
             unit = np.isin(h, units) & np.concatenate([[False], number[:-1]])
             kinds = np.select([number, unit, name & ~opens], [1, 3, 2], 0).astype(np.uint8)
-            h = np.where(kinds > 0, marks[kinds], h)
-            parts.append((h, kinds, starts + begin, ends + begin))
+            parts.append((np.where(kinds > 0, marks[kinds], h), h, kinds, starts + begin, ends + begin))
         begin = end
     if not parts:
-        return Template(low, np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return Template(low, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))
     return Template(low, *(np.concatenate(column) for column in zip(*parts, strict=True)))
 
 
 def item_windows(benchmark: DataFrame, width: int = WINDOW, id_column: str = "item_id") -> DataFrame:
-    """(item_id, pos, n, width, window, slots, places, spot): the template windows of every item, `n` of them.
+    """(item_id, pos, n, n_open, open, width, window, slots, places, spot): the windows of every item, `n` of them, of which `n_open` are templates (`open`).
 
     An item shorter than a window is one window of its own width. `spot` is the bit of the window
     in the bitmap. Null, empty and wordless items have no windows.
@@ -164,16 +166,16 @@ def item_windows(benchmark: DataFrame, width: int = WINDOW, id_column: str = "it
             for item, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 t = template(text)
                 wide = min(width, len(t.hashes))
-                at, hashes = t.windows(wide) if wide else ([], [])
-                for p, h in zip(at, hashes, strict=True):
-                    rows.append((item, int(p), len(at), wide, *t.window(p, wide), int(h >> np.uint64(64 - BITMAP_BITS))))
-            names = ["item_id", "pos", "n", "width", "window", "slots", "places", "spot"]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32()]
+                hashes, open_ = t.windows(wide) if wide else ([], [])
+                for p, h in enumerate(hashes):
+                    rows.append((item, p, len(hashes), int(open_.sum()), bool(open_[p]), wide, *t.window(p, wide), int(h >> np.uint64(64 - BITMAP_BITS))))
+            names = ["item_id", "pos", "n", "n_open", "open", "width", "window", "slots", "places", "spot"]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32()]
             columns = zip(*rows, strict=True) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     items = benchmark.select(benchmark[id_column].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text"))
-    return items.mapInArrow(cut, "item_id long, pos int, n int, width int, window string, slots array<string>, places array<int>, spot int")
+    return items.mapInArrow(cut, "item_id long, pos int, n int, n_open int, open boolean, width int, window string, slots array<string>, places array<int>, spot int")
 
 
 def _bitmap(windows: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -194,7 +196,7 @@ def text_key(text: Column) -> Column:
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: float = SHARE, enough: int = ENOUGH) -> DataFrame:
     """(key, item_id, coverage): benchmark items found in the text whose `text_key` is `key`.
 
-    An item is found if consistent windows are at least `share` of its windows or `enough` of them.
+    An item is found if consistent windows are at least `share` of its windows, or of its templates, or `enough` of them.
     """
     spark = docs.sparkSession
     items = durable(item_windows(benchmark, width))
@@ -210,8 +212,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: flo
                 t = template(text)
                 key = None
                 for wide in widths:
-                    at, hashes = t.windows(wide)
-                    for p in at[known[hashes >> np.uint64(64 - BITMAP_BITS)]].tolist():
+                    hashes, _ = t.windows(wide)
+                    for p in np.flatnonzero(known[hashes >> np.uint64(64 - BITMAP_BITS)]).tolist():
                         key = key or hashlib.md5((text or "").encode("utf-8", "surrogatepass")).hexdigest()
                         rows.append((key, p, *t.window(p, wide)[:2]))
             columns = zip(*rows, strict=True) if rows else [[]] * 4
@@ -220,8 +222,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: flo
 
     found = docs.select(docs["text"].cast("string").alias("text")).mapInArrow(scan, "key string, at int, window string, filled array<string>")
     found = found.dropDuplicates(["key", "at", "window"])
-    met = found.join(items.select("item_id", "pos", "n", "window", "slots", "places"), "window")
-    met = durable(met.select("key", "item_id", "n", "pos", (F.col("at") - F.col("pos")).alias("shift"), "slots", "filled", "places"))
+    met = found.join(items.select("item_id", "pos", "n", "n_open", "open", "window", "slots", "places"), "window")
+    met = durable(met.select("key", "item_id", "n", "n_open", "open", "pos", (F.col("at") - F.col("pos")).alias("shift"), "slots", "filled", "places"))
     run = ["key", "item_id", "shift"]
     pairs = met.select(*run, F.explode(F.arrays_zip("slots", "filled", "places")).alias("s")).select(*run, "s.*").groupBy(*run, "slots", "filled")
     pairs = pairs.agg(F.struct(F.count_distinct("places").alias("n"), F.expr("slots = filled").alias("same"), (-F.min("places")).alias("first")).alias("rank"))
@@ -232,9 +234,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: flo
     odd = odd.groupBy(*run).agg(F.collect_set(F.struct("slots", "filled")).alias("odd"))
     used = F.arrays_zip("slots", "filled")
     even = met.join(odd, run, "left").filter(F.col("odd").isNull() | F.expr("slots = filled") | ~F.arrays_overlap(used, "odd"))
-    held = even.groupBy("key", "item_id").agg(F.count_distinct("pos").alias("held"), F.first("n").alias("n"))
-    needed = F.least(F.ceil(F.col("n") * share), F.lit(enough))
-    return held.filter(F.col("held") >= needed).select("key", "item_id", (F.col("held") / F.col("n")).alias("coverage"))
+    held = even.groupBy("key", "item_id").agg(F.count_distinct("pos").alias("held"), F.count_distinct(F.expr("CASE WHEN open THEN pos END")).alias("held_open"), F.first("n").alias("n"), F.first("n_open").alias("n_open"))
+    reached = lambda h, n: (F.col(h) > 0) & (F.col(h) >= F.least(F.ceil(F.col(n) * share), F.lit(enough)))
+    cover = F.greatest(F.col("held") / F.col("n"), F.when(F.col("n_open") > 0, F.col("held_open") / F.col("n_open")))
+    # with other values only templates can be found: they are judged among themselves, and all windows together
+    return held.filter(reached("held", "n") | reached("held_open", "n_open")).select("key", "item_id", cover.alias("coverage"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -23,3 +23,9 @@ def test_one_changed_value_does_not_hide_a_long_passage(spark):
     item = "the shop sold 12 baskets of ripe plums in the morning and later that same day 45 jars of sweet honey were sold to people from the village"
     equal = item.replace("12", "70").replace("45", "70")
     assert found(spark, [PASSAGE, item], ["So: " + changed, "So: " + merged, equal, PASSAGE, "nothing of the kind is in this text at all"]) == [[0], [0], [1], [0], []]
+
+
+def test_items_rich_in_values_are_found_as_they_are(spark):
+    items = ["Compute 12 + 35 + 47 + 89", "Oslo 12 Bergen 15 Narvik 18 Hamar 21 Molde 24 Tromsø 27", "first 3 7 1 9 2 8 then"]
+    texts = [f"Some words before . {i} and some behind" for i in items] + [items[0].replace("35", "36"), items[1].replace("1", "3").replace("2", "4")]
+    assert found(spark, items, texts) == [[0], [1], [2], [], []]
