@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +52,9 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_MARKS = _mix(np.array([1, 2, 3, 4], np.uint64))
+
+
 def _lower(text: str, data: bytes) -> bytes:
     """Lower case of the same length in bytes: a letter that would change its length stays."""
     low = text.lower().encode("utf-8", "surrogatepass")
@@ -79,6 +82,14 @@ class Template:
     kinds: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
+    capital: np.ndarray
+
+    def inside(self) -> Template:
+        """The same text as it reads behind other words: a capitalised first word is a name there."""
+        kinds, hashes = self.kinds.copy(), self.hashes.copy()
+        if len(kinds) and self.capital[0] and not kinds[0]:
+            kinds[0], hashes[0] = 2, _MARKS[2]
+        return replace(self, kinds=kinds, hashes=hashes)
 
     def word(self, i: int) -> str:
         return self.low[self.starts[i] : self.ends[i]].decode("utf-8", "replace")
@@ -122,7 +133,6 @@ def template(text: str | None) -> Template:
     data = text.encode("utf-8", "surrogatepass")
     low = _lower(text, data)
     numbers, units = _constant(NUMBER_WORDS), _constant(UNIT_WORDS)
-    marks = _mix(np.array([1, 2, 3, 4], np.uint64))
     parts, begin = [], 0
     while begin < len(data):
         end = min(len(data), begin + PIECE)
@@ -131,6 +141,13 @@ def template(text: str | None) -> Template:
             end = cut if cut > begin else end
         b, raw = np.frombuffer(low, np.uint8, end - begin, begin), np.frombuffer(data, np.uint8, end - begin, begin)
         kind = _KIND[b]
+        # dashes, quotes and dots from U+2010 on, and quotes and opening signs of Latin-1, are no letters
+        signs = np.flatnonzero((b[:-2] == 0xE2) & (b[1:-1] == 0x80) & (b[2:] >= 0x90))
+        for k in range(3):
+            kind[signs + k] = 0
+        signs = np.flatnonzero((b[:-1] == 0xC2) & np.isin(b[1:], [0xA0, 0xA1, 0xAB, 0xBB, 0xBF]))
+        for k in range(2):
+            kind[signs + k] = 0
         word, digit = (kind == 1) | (kind == 2), kind == 2
         word[1:-1] |= (kind[1:-1] == 3) & digit[:-2] & digit[2:]
         starts = np.flatnonzero(word & ~np.concatenate([[False], word[:-1]]))
@@ -146,17 +163,18 @@ def template(text: str | None) -> Template:
             number = digit[starts] | np.isin(h, numbers)
             unit = np.isin(h, units) & np.concatenate([[False], number[:-1]])
             kinds = np.select([number, unit, name & ~opens], [1, 3, 2], 0).astype(np.uint8)
-            parts.append((np.where(kinds > 0, marks[kinds], h), h, kinds, starts + begin, ends + begin))
+            parts.append((np.where(kinds > 0, _MARKS[kinds], h), h, kinds, starts + begin, ends + begin, name))
         begin = end
     if not parts:
-        return Template(low, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return Template(low, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
     return Template(low, *(np.concatenate(column) for column in zip(*parts, strict=True)))
 
 
 def item_windows(benchmark: DataFrame, width: int = WINDOW, id_column: str = "item_id") -> DataFrame:
     """(item_id, pos, n, n_open, open, width, window, slots, places, spot): the windows of every item, `n` of them, of which `n_open` are templates (`open`).
 
-    An item shorter than a window is one window of its own width. `spot` is the bit of the window
+    An item shorter than a window is one window of its own width. The window at the start is there
+    a second time if its first word reads as a name behind other words. `spot` is the bit of the window
     in the bitmap. Null, empty and wordless items have no windows.
     """
 
@@ -167,8 +185,11 @@ def item_windows(benchmark: DataFrame, width: int = WINDOW, id_column: str = "it
                 t = template(text)
                 wide = min(width, len(t.hashes))
                 hashes, open_ = t.windows(wide) if wide else ([], [])
-                for p, h in enumerate(hashes):
-                    rows.append((item, p, len(hashes), int(open_.sum()), bool(open_[p]), wide, *t.window(p, wide), int(h >> np.uint64(64 - BITMAP_BITS))))
+                readings = [(t, p, h) for p, h in enumerate(hashes)]
+                if wide and (other := t.inside()).kinds[0] != t.kinds[0]:
+                    readings.append((other, 0, other.windows(wide)[0][0]))
+                for r, p, h in readings:
+                    rows.append((item, p, len(hashes), int(open_.sum()), bool(open_[p]), wide, *r.window(p, wide), int(h >> np.uint64(64 - BITMAP_BITS))))
             names = ["item_id", "pos", "n", "n_open", "open", "width", "window", "slots", "places", "spot"]
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32()]
             columns = zip(*rows, strict=True) if rows else [[]] * len(names)

@@ -29,3 +29,10 @@ def test_items_rich_in_values_are_found_as_they_are(spark):
     items = ["Compute 12 + 35 + 47 + 89", "Oslo 12 Bergen 15 Narvik 18 Hamar 21 Molde 24 Tromsø 27", "first 3 7 1 9 2 8 then"]
     texts = [f"Some words before . {i} and some behind" for i in items] + [items[0].replace("35", "36"), items[1].replace("1", "3").replace("2", "4")]
     assert found(spark, items, texts) == [[0], [1], [2], [], []]
+
+
+def test_short_items_are_found_behind_any_words(spark):
+    items = ["What is the capital of that land", "Anna 3 was here"]
+    before = ["he asked ", "(", "\u201c", "Q ", "Stop. ", "Q: ", ""]
+    texts = [b + items[0] for b in before] + ["as said Anna 3 was here", "what is the name of that land"]
+    assert found(spark, items, texts) == [[0]] * len(before) + [[1], []]
