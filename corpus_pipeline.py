@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casefile.llm import decontaminate, hilbert, mixing, near_copies, quality_model
+from casefile.llm import decontaminate, hilbert, mixing, quality_model, simhash
 from casefile.llm.common import forget, table, written
 from casefile.llm.queries import language_labels
 
@@ -25,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that pairs with 5-word Jaccard similarity of 0.8 or more join: the one with the smallest id."""
-    return near_copies.one_of_each_group(docs)
+    """One document of each group of fingerprints over 3-word shingles that differ in at most two bits: the one with the smallest id."""
+    return simhash.one_of_each_group(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +46,8 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminated), ("mix", mix), ("shard", shards)]
 
-# Models and groups of near copies have no counterpart in SQL. Tests hold near_dedup against all pairs in plain Python and
-# decontaminate against planted items; the other stages by columns, ids and counts only, and `run` as a whole not at all.
+# Models and groups of near copies have no counterpart in SQL. Tests hold near_dedup against the groups of op6 and
+# decontaminate against planted items; the other stages by columns, ids and counts.
 ORACLE_SQL = None
 
 
