@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm import decontaminate, hilbert, language_id, mixing, quality_model, quality_rules, repeated_spans, simhash, url_filter, warc
+from casefile.llm import collocations, decontaminate, hilbert, language_id, mixing, quality_model, quality_rules, repeated_spans, simhash, url_filter, warc
 from casefile.llm.common import bounded_ids, table
 from casefile.session import scratch_folder
 
@@ -167,3 +167,45 @@ def language_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All languages are wanted with the same number of tokens."""
     return mixing.mixed_rates(table(spark, sf_dir, "documents"), language_labels(spark, sf_dir))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), cut AS (
+  SELECT lang, list_filter(regexp_extract_all(piece, '[^\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut WHERE len(w) > 0
+), grams AS (
+  SELECT lang, s AS size, array_to_string(w[i:i + s - 1], ' ') AS phrase FROM starts, (VALUES (1), (2), (3)) AS sizes (s) WHERE i + s - 1 <= len(w)
+), counts AS (
+  SELECT lang, size, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, count(*) AS n FROM starts GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS parts FROM counts WHERE size > 1 AND f >= 10
+), cuts AS (
+  SELECT lang, phrase, size, a, k, array_to_string(parts[1:k], ' ') AS head, array_to_string(parts[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), rated AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, (1000000 * c.a * c.a) // (x.f * y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail
+), lowest AS (
+  SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_pairs AS (
+  SELECT lang, phrase, max(a) AS f FROM (
+    SELECT lang, a, array_to_string(parts[1:2], ' ') AS phrase FROM candidates WHERE size = 3
+    UNION ALL SELECT lang, a, array_to_string(parts[2:3], ' ') FROM candidates WHERE size = 3) GROUP BY ALL
+), kept AS (
+  SELECT lowest.* FROM lowest LEFT JOIN inner_pairs i USING (lang, phrase) WHERE i.f IS NULL OR 100 * i.f < 50 * lowest.a
+)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
+@query("op12_collocations", OP12_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
