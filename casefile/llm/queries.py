@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm import collocations, decontaminate, hilbert, language_id, mixing, quality_model, quality_rules, repeated_spans, simhash, url_filter, warc
+from casefile.llm import collocations, decontaminate, hilbert, language_id, mixing, periodic_runs, quality_model, quality_rules, repeated_spans, simhash, url_filter, warc
 from casefile.llm.common import bounded_ids, table
 from casefile.session import scratch_folder
 
@@ -209,3 +209,14 @@ QUALIFY rank <= 2000
 @query("op12_collocations", OP12_SQL)
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In a tenth of the documents, chosen by the crc32 of their id, the words from some place on are first replaced by repetitions."""
+    docs = table(spark, sf_dir, "documents")
+    n, h = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")), F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    marked = docs.select("doc_id", "text", n.cast("long").alias("n"), h.alias("h"), F.floor(h / 10).alias("g"))
+    marked = marked.withColumn("a", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), F.try_mod("g", "n")))
+    marked = marked.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    return periodic_runs.periodic_runs(marked, marked["p"], marked["a"]).drop("n_words")
