@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm import collocations, decontaminate, hilbert, language_id, mixing, periodic_runs, quality_model, quality_rules, repeated_spans, simhash, url_filter, warc
+from casefile.llm import collocations, decontaminate, hilbert, language_id, mixing, periodic_runs, quality_model, quality_rules, repeated_spans, simhash, url_filter, vector_links, warc
 from casefile.llm.common import bounded_ids, table
 from casefile.session import scratch_folder
 
@@ -169,6 +169,30 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_rates(table(spark, sf_dir, "documents"), language_labels(spark, sf_dir))
 
 
+OP11_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), usable AS (
+  SELECT r, vec_id, e FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM usable a JOIN usable b ON a.r <> b.r AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT r, r AS other FROM v UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.other
+), counted AS (
+  SELECT a AS r, count(*) AS n_links FROM links GROUP BY a
+), least AS (
+  SELECT reach.r, min(o.vec_id) AS component_id FROM reach JOIN v o ON o.r = reach.other GROUP BY reach.r
+)
+SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN least USING (r) LEFT JOIN counted USING (r)
+"""
+
+
+@query("op11_vector_links", OP11_SQL)
+def op11_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 OP12_SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece

@@ -280,4 +280,4 @@ def test_pipeline_stages_keep_columns(spark, sf):
 
 
 def test_every_operator_has_its_query():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
