@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casefile.functions.values import col
-from casefile.operators.ranking import ROWS_PER_BUCKET, running_totals
+from casefile.operators.ranking import running_totals
 from casefile.session import broadcast_if_small
 
 
@@ -40,7 +40,7 @@ def macro_f1(df: DataFrame, label: str = "label", prediction: str = "prediction"
 
 
 def score_table(
-    df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int | None = None
 ) -> DataFrame:
     """One row per distinct score, highest first in rank: pos, neg, running cum_pos and
     cum_neg (this score included), and the counts of the next lower score."""
@@ -50,12 +50,12 @@ def score_table(
     return running_totals(by_score, "score", ["pos", "neg"], descending=True, leads=["pos", "neg"], rows_per_bucket=rows_per_bucket)
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int | None = None) -> DataFrame:
     """Area under the ROC curve, ties counted half."""
     return ranking_metrics(score_table(df, label, score, rows_per_bucket)).select("roc_auc")
 
 
-def average_precision(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def average_precision(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int | None = None) -> DataFrame:
     """Sum of recall steps times precision."""
     return ranking_metrics(score_table(df, label, score, rows_per_bucket)).select("avg_precision")
 
@@ -76,13 +76,13 @@ def _class_totals(table: DataFrame) -> tuple[int, int]:
     return pos or 0, neg or 0
 
 
-def roc_points(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def roc_points(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int | None = None) -> DataFrame:
     """(fpr, tpr, threshold), points on a straight line between neighbours left out,
     starting at the origin with an infinite threshold."""
     return roc_curve(score_table(df, label, score, rows_per_bucket))
 
 
-def pr_points(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def pr_points(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int | None = None) -> DataFrame:
     """(precision, recall, threshold) for every distinct score, ending at precision 1
     and recall 0 without threshold."""
     return pr_curve(score_table(df, label, score, rows_per_bucket))

@@ -7,18 +7,17 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casefile.functions.values import col, is_floating, long_form, missing, present_number
-from casefile.operators.quantiles import quantiles
+from casefile.operators.dictionaries import MODEL_SLOTS, Classes, JoinedOneHot, classes_of, dictionary_of, dictionary_sizes, with_slot
+from casefile.operators.quantiles import number_summaries, quantiles
 from casefile.operators.schema import bool_to_int, constant_columns, drop_columns, low_cardinality, split_by_kind
+from casefile.session import broadcast_if_small
 
-# A one-hot dictionary lives in the fitted model, on the driver and in every task.
-MAX_DICTIONARY = 100_000
-MAX_CLASSES = 1_000
 
 
 def median_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -64,39 +63,50 @@ def standardize(df: DataFrame, columns: Sequence[str], with_mean: bool = True) -
     return df.select(*[new[c].alias(c) if c in new else col(c) for c in df.columns])
 
 
-def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Append `<column>_vec`: categories in sorted order, unknown or missing as zeros."""
-    index = [f"{c}_idx" for c in columns]
-    indexer = StringIndexer(inputCols=list(columns), outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep")
-    coded = indexer.fit(df).transform(df)
-    # the slot dropped is the last one, which the indexer reserves for the unknown
-    encoder = OneHotEncoder(inputCols=index, outputCols=[f"{c}_vec" for c in columns], dropLast=True)
-    return encoder.fit(coded).transform(coded).drop(*index)
-
+def one_hot(df: DataFrame, columns: Sequence[str], in_model: int = MODEL_SLOTS) -> DataFrame:
+    """Append `<column>_vec`: categories in sorted order, unknown or missing as zeros.
 
-def _classes(df: DataFrame, target: str) -> list[tuple]:
-    """Sorted distinct present target values, each with its text as Spark writes it; too many is an error."""
-    values = df.filter(~missing(df, target)).select(col(target).alias("v"), col(target).cast("string").alias("t")).distinct()
-    found = [(r["v"], r["t"]) for r in values.limit(MAX_CLASSES + 1).collect()]
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"target '{target}' has more than {MAX_CLASSES} classes")
-    return sorted(found)
+    Dictionaries of more than `in_model` values are joined as tables.
+    """
+    known = dictionary_of(df, columns)
+    sizes = dictionary_sizes(known)
+    narrow = [c for c in columns if sizes.get(c, 0) <= in_model]
+    out = _short_one_hot(df, narrow, known, [f"{c}_vec" for c in narrow])[0] if narrow else df
+    for c in columns:
+        if c not in narrow:
+            out = JoinedOneHot(None, 0, [c], known, sizes, f"{c}_vec").transform(out)
+    return out
+
+
+def _short_one_hot(df: DataFrame, columns: Sequence[str], known: DataFrame, outputs: Sequence[str], tag: str = "_idx") -> tuple[DataFrame, list]:
+    """The coded table and the stages that code it, for dictionaries short enough to be held in a model."""
+    names = {c: i for i, c in enumerate(columns)}
+    labels: list[list[str]] = [[] for _ in columns]
+    for r in known.filter(F.col("column").isin(list(columns))).orderBy("column", "slot").collect():
+        labels[names[r["column"]]].append(r["value"])
+    index = [f"{c}{tag}" for c in outputs]
+    # one model for each column: joint ones want label lists of equal length
+    indexers = [StringIndexerModel.from_labels(x or ["(none)"], inputCol=c, outputCol=i, handleInvalid="keep") for x, c, i in zip(labels, columns, index)]
+    coded = PipelineModel(indexers).transform(df)
+    # the slot dropped is the last one, which the indexer reserves for the unknown
+    encoder = OneHotEncoder(inputCols=index, outputCols=list(outputs), dropLast=True).fit(coded)
+    return encoder.transform(coded).drop(*index), [*indexers, encoder]
 
 
-def target_classes(df: DataFrame, target: str) -> list:
-    """Sorted distinct present target values; too many is an error."""
-    return [value for value, _ in _classes(df, target)]
+def target_classes(df: DataFrame, target: str) -> Classes:
+    """Sorted distinct present target values."""
+    return classes_of(df, target)
 
 
-def encode_target(df: DataFrame, target: str, name: str = "label") -> tuple[DataFrame, list]:
+def encode_target(df: DataFrame, target: str, name: str = "label") -> tuple[DataFrame, Classes]:
     """Append the class number 0..k-1 of the target, in sorted order, as a double.
 
-    Rows without target are left out. Returns the class list as the way back.
+    Rows without target are left out. The classes are a table of any length; they are also the
+    way back.
     """
-    known = _classes(df, target)
-    model = StringIndexerModel.from_labels([text for _, text in known], inputCol="_target", outputCol=name, handleInvalid="error")
-    texts = df.filter(~missing(df, target)).withColumn("_target", col(target).cast("string"))
-    return model.transform(texts).drop("_target"), [value for value, _ in known]
+    known = classes_of(df, target)
+    table = broadcast_if_small(known.table.select(F.col("value").cast("string").alias("value"), F.col("slot").cast("double").alias("slot")))[0]
+    return with_slot(df.filter(~missing(df, target)), target, table, name), known
 
 
 class Preprocessor(Estimator):
@@ -114,6 +124,8 @@ class Preprocessor(Estimator):
     @keyword_only
     def __init__(self, *, numericCols=None, categoricalCols=None, outputCol="features", withMean=True):
         super().__init__()
+        # dictionaries of more values are joined as tables
+        self.inModel = MODEL_SLOTS
         self._setDefault(outputCol="features", withMean=True, numericCols=[], categoricalCols=[])
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
@@ -121,37 +133,44 @@ class Preprocessor(Estimator):
         numeric, categorical = self.getOrDefault("numericCols"), self.getOrDefault("categoricalCols")
         output = self.getOrDefault("outputCol")
         exprs, inputs = [], []
-        medians = quantiles(df, numeric, [0.5])
-        if numeric:
-            filled = [F.coalesce(present_number(df, c), F.lit(medians[c][0])) for c in numeric]
-            stats = [f(x).alias(f"{t}{i}") for i, x in enumerate(filled) for t, f in (("m", F.avg), ("s", F.stddev_pop))]
-            row = df.agg(*stats).first()
-            for i, c in enumerate(numeric):
-                mean = row[f"m{i}"] if self.getOrDefault("withMean") else 0.0
-                source = f"nanvl({_quoted(c)}, null)" if is_floating(df.schema[c].dataType) else _quoted(c)
-                value = f"coalesce(cast({source} as double), {medians[c][0] or 0.0!r}D)"
-                exprs.append(f"({value} - {mean or 0.0!r}D) / {row[f's{i}'] or 1.0!r}D as {_quoted(_slot('num', i, c))}")
-                inputs.append(_slot('num', i, c))
-        stages = []
+        summaries = number_summaries(df, numeric)
+        for i, c in enumerate(numeric):
+            found = summaries[c]
+            mean = found.filled_mean if self.getOrDefault("withMean") else 0.0
+            source = f"nanvl({_quoted(c)}, null)" if is_floating(df.schema[c].dataType) else _quoted(c)
+            value = f"coalesce(cast({source} as double), {found.median or 0.0!r}D)"
+            exprs.append(f"({value} - {mean or 0.0!r}D) / {found.filled_deviation or 1.0!r}D as {_quoted(_slot('num', i, c))}")
+            inputs.append(_slot('num', i, c))
+        stages, wide = [], []
         if categorical:
-            _check_dictionary(df, categorical)
-            modes = most_frequent(df, categorical)
-            texts = [_slot("cat", i, c) for i, c in enumerate(categorical)]
-            for c, text in zip(categorical, texts):
-                fallback = (modes[c] or "").replace("\\", "\\\\").replace("'", "\\'")
+            # one count of all values gives the modes, the slots and their number
+            known = dictionary_of(df, categorical)
+            sizes = dictionary_sizes(known)
+            best = known.groupBy("column").agg(F.min(F.struct(-F.col("n"), "value")).alias("b"))
+            modes = {r["column"]: r["value"] for r in best.select("column", "b.value").collect()}
+            texts = {c: _slot("cat", i, c) for i, c in enumerate(categorical)}
+            for c, text in texts.items():
+                fallback = modes.get(c, "").replace("\\", "\\\\").replace("'", "\\'")
                 exprs.append(f"coalesce(cast({_quoted(c)} as string), '{fallback}') as {_quoted(text)}")
+            wide = [c for c in categorical if sizes.get(c, 0) > self.inModel]
         if exprs:
             stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
         prepared = stages[0].transform(df) if stages else df
+        short = [c for c in categorical if c not in wide]
         if categorical:
-            index = [_slot("idx", i, c) for i, c in enumerate(categorical)]
-            hot = [_slot("hot", i, c) for i, c in enumerate(categorical)]
-            indexer = StringIndexer(inputCols=texts, outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep").fit(prepared)
-            coded = indexer.transform(prepared)
-            encoder = OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True).fit(coded)
-            stages += [indexer, encoder]
+            coded = known.withColumn("column", F.element_at(F.create_map(*[F.lit(v) for pair in texts.items() for v in pair]), F.col("column")))
+        if short:
+            hot = [_slot("hot", categorical.index(c), c) for c in short]
+            stages += _short_one_hot(prepared, [texts[c] for c in short], coded, hot)[1]
             inputs += hot
-        stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="error"))
+        if wide:
+            base = f"_{output}_short" if inputs else None
+            if base:
+                stages.append(VectorAssembler(inputCols=inputs, outputCol=base, handleInvalid="error"))
+            width = len(numeric) + sum(max(1, sizes.get(c, 0)) for c in short)
+            stages.append(JoinedOneHot(base, width, [texts[c] for c in wide], coded, {texts[c]: sizes[c] for c in wide}, output))
+        else:
+            stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="error"))
         return PipelineModel(stages)
 
 
@@ -164,13 +183,6 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _check_dictionary(df: DataFrame, columns: Sequence[str]) -> None:
-    sizes = df.agg(*[F.approx_count_distinct(col(c)).alias(str(i)) for i, c in enumerate(columns)]).first()
-    wide = [c for i, c in enumerate(columns) if sizes[str(i)] > MAX_DICTIONARY]
-    if wide:
-        raise ValueError(f"too many categories to one-hot encode: {wide}; exclude them or group their values")
-
-
 def build_preprocessor(df: DataFrame, exclude: Sequence[str] = (), with_mean: bool = True) -> Preprocessor:
     """The preprocessor for a table: constant columns out, booleans as numbers."""
     narrow = df.drop(*exclude)
@@ -190,8 +202,11 @@ _SIMPLE_TYPES = {
 
 
 def feature_names(vectors: DataFrame, column: str = "features") -> list[str]:
-    """Names of the vector's slots, from the attribute metadata."""
-    groups = vectors.schema[column].metadata["ml_attr"]["attrs"].values()
+    """Names of the vector's slots, from the attribute metadata; vectors with joined dictionaries have numbers."""
+    known = vectors.schema[column].metadata["ml_attr"]
+    if "attrs" not in known:
+        return [f"{column}_{i}" for i in range(known["num_attrs"])]
+    groups = known["attrs"].values()
     slots = sorted((a for g in groups for a in g), key=lambda a: a["idx"])
     return [_plain_name(a["name"]) for a in slots]
 

@@ -1,23 +1,25 @@
 """Global ranks and running totals that never sort a whole group in one task.
 
 Rows are first counted per (group, slice of the order); the running count of the
-slices is tiny, and only rows of one slice meet in one task.
+slices is tiny, and only rows of one slice meet in one task. Orders over values are dealt
+out as ranges, one to a partition; what comes before a partition is one number for each.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casefile.functions.values import col
+from casefile.functions.values import col, missing
 from casefile.session import broadcast_if_small, durable
 
 # Hex digits of the hash that name a slice: 16**4 slices per group.
 SLICE_DIGITS = 4
+# Rows wanted in a range where their number is chosen beforehand.
 ROWS_PER_BUCKET = 1_000_000
 
 
@@ -104,16 +106,10 @@ def mark_quota(
     return sure.unionByName(edge.select(*columns, (place <= F.col("_rest")).alias(name)))
 
 
-def _bucketed(df: DataFrame, order_col: str, rows_per_bucket: int) -> DataFrame:
-    """Append `_bucket`, consecutive ranges of the order column of bounded size."""
-    total = df.count()
-    buckets = max(1, math.ceil(total / rows_per_bucket))
-    if buckets == 1:
-        return df.withColumn("_bucket", F.lit(0.0))
-    probs = [i / buckets for i in range(1, buckets)]
-    inner = sorted(set(df.stat.approxQuantile(order_col, probs, 0.1 / buckets)))
-    splits = [-math.inf, *inner, math.inf]
-    return Bucketizer(splits=splits, inputCol=order_col, outputCol="_bucket", handleInvalid="keep").transform(df)
+def _ranged(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
+    """Rows dealt out by consecutive ranges of the order, sorted inside, with the number of their range."""
+    dealt = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    return durable(dealt.sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id()))
 
 
 def running_totals(
@@ -122,36 +118,102 @@ def running_totals(
     sums: Sequence[str],
     descending: bool = False,
     leads: Sequence[str] = (),
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Running sums over a global order, as `cum_<name>`, this row included.
 
     `order_col` is a number, distinct per row (group by it first: that also turns
     a hot value into one row). `leads` adds `next_<name>`, the value of the
-    following row. Only a table of one row per bucket is ever ordered as a whole.
+    following row. The order is cut into ranges by the exchange itself, about
+    `rows_per_bucket` rows each if given; only one row per range is ever ordered as a whole.
     """
-    parts = _bucketed(durable(df), order_col, rows_per_bucket)
+    partitions = max(1, math.ceil(df.count() / rows_per_bucket)) if rows_per_bucket else None
+    # ranges follow the wanted direction, so that totals always grow with their number
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    bucket_order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
+    parts = _ranged(df, [order], partitions)
     first = F.max_by if descending else F.min_by
-    totals = parts.groupBy("_bucket").agg(
+    totals = parts.groupBy("_range").agg(
         *[F.sum(s).alias(f"_sum_{s}") for s in sums], *[first(v, order_col).alias(f"_first_{v}") for v in leads]
     )
-    earlier = Window.orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
-    following = Window.orderBy(bucket_order)
-    offsets = totals.select(
-        "_bucket",
-        *[F.coalesce(F.sum(f"_sum_{s}").over(earlier), F.lit(0)).alias(f"_before_{s}") for s in sums],
-        *[F.lead(f"_first_{v}").over(following).alias(f"_after_{v}") for v in leads],
+    ranges = Window.orderBy("_range")
+    earlier = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    offsets, _ = broadcast_if_small(
+        totals.select(
+            "_range",
+            *[F.coalesce(F.sum(f"_sum_{s}").over(earlier), F.lit(0)).alias(f"_before_{s}") for s in sums],
+            *[F.lead(f"_first_{v}").over(ranges).alias(f"_after_{v}") for v in leads],
+        )
     )
-    inside = Window.partitionBy("_bucket").orderBy(order)
+    inside = Window.partitionBy("_range").orderBy(order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = parts.join(F.broadcast(offsets), "_bucket")
+    out = parts.join(offsets, "_range")
     cums = [(F.col(f"_before_{s}") + F.sum(s).over(upto)).alias(f"cum_{s}") for s in sums]
     nexts = [F.coalesce(F.lead(v).over(inside), F.col(f"_after_{v}")).alias(f"next_{v}") for v in leads]
     return out.select(*[col(c) for c in df.columns], *cums, *nexts)
 
 
+# Spark's row ids hold the partition above and the place in it below this bit.
+_PLACE_BITS = 33
+
+
+def with_row_index(df: DataFrame, name: str = "row_index", order: Sequence[str] = ()) -> DataFrame:
+    """Append a gapless 0-based index: in the order of `order`, or as the rows are read.
+
+    Partitions are counted and what lies before each is added to a row's place in it; no row
+    is moved for that. Rows equal in all of `order` may swap places.
+    """
+    placed = df
+    if order:
+        keys = [col(c).asc_nulls_first() for c in order]
+        placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = durable(placed.withColumn(name, F.monotonically_increasing_id()))
+    part, place = F.shiftright(col(name), _PLACE_BITS), col(name).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    # one row for each partition
+    held = sorted(placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before = [0, *accumulate(r["n"] for r in held)]
+    offsets = [(r["part"], b) for r, b in zip(held, before)]
+    if len(offsets) < 2:
+        return placed.withColumn(name, place)
+    table, _ = broadcast_if_small(df.sparkSession.createDataFrame(offsets, "_part long, _before long"))
+    indexed = placed.join(table, part == F.col("_part"))
+    return indexed.select(*[col(c) for c in df.columns], (F.col("_before") + place).alias(name))
+
+
+def side_by_side(left: DataFrame, right: DataFrame, left_order: Sequence[str] = (), right_order: Sequence[str] = (), suffix: str = "_right") -> DataFrame:
+    """The columns of two tables row by row, as their rows are read or in the given orders.
+
+    The longer table's last rows have nulls beside them. A column of `right` whose name is taken
+    gets `suffix` as often as needed. The place of a row is its `row_index` in the result.
+    """
+    taken, renamed = {c.lower() for c in left.columns} | {"row_index"}, []
+    for c in right.columns:
+        new = c
+        while new.lower() in taken:
+            new += suffix
+        taken.add(new.lower())
+        renamed.append(new)
+    if "row_index" in {c.lower() for c in left.columns}:
+        raise ValueError("a column is called row_index already")
+    # a private index name, so that `right` may have any column
+    one = with_row_index(left, "row_index", left_order)
+    two = with_row_index(right.toDF(*[f"c{i}" for i in range(len(renamed))]), "row_index", [f"c{right.columns.index(c)}" for c in right_order])
+    joined = one.join(two, "row_index", "full")
+    return joined.select("row_index", *[col(c) for c in left.columns], *[F.col(f"c{i}").alias(c) for i, c in enumerate(renamed)])
+
+
+def factorize(df: DataFrame, column: str, name: str = "code", order: Sequence[str] = ()) -> DataFrame:
+    """Append the number of a value in the order of first sight; missing values (null, NaN) have -1.
+
+    First sight goes by `order`, or by the rows as they are read. Values are numbered as a
+    table and joined back, so there may be any number of them.
+    """
+    indexed = with_row_index(df, "_at", order)
+    seen = indexed.filter(~missing(df, column)).groupBy(col(column).alias("_value")).agg(F.min("_at").alias("_first"))
+    numbered, _ = broadcast_if_small(with_row_index(seen, "_code", ["_first"]).select("_value", "_code"))
+    coded = indexed.join(numbered, col(column) == F.col("_value"), "left")
+    return coded.select(*[col(c) for c in df.columns], F.coalesce("_code", F.lit(-1).cast("long")).alias(name))
+
+
 def top_rows(df: DataFrame, n: int, by: str, *ties: str, descending: bool = True) -> DataFrame:
     """The n rows with the best score, missing scores last, ties by name."""
     first = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()

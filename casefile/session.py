@@ -6,11 +6,12 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of an aggregated side table that may be sent to every executor.
-BROADCAST_ROWS = 200_000
+# Rows and bytes of an aggregated side table that may be sent to every executor.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 # Rows from which a table is worth dealing out to all cores.
 SPREAD_ROWS = 100_000
 
@@ -62,12 +63,12 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
     """Like `durable`, as a Parquet table: for wide tables of which later passes read
-    a few columns at a time."""
+    a few columns at a time. `schema` reads columns as another type of the same storage."""
     path = scratch_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
 def spread(table: DataFrame) -> DataFrame:
@@ -83,9 +84,21 @@ def spread(table: DataFrame) -> DataFrame:
     return table.repartition(cores)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise a side table and mark it for broadcast only when its row
-    count is within the bound. Returns the table and whether it was small."""
+def _bytes_of(field: T.StructField) -> Column:
+    """About how many bytes a value takes; texts and arrays by their length."""
+    c = F.col("`" + field.name.replace("`", "``") + "`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.octet_length(c) + 16
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(c))) + 16
+    return F.lit(16)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Materialise a side table and mark it for broadcast only when its counted rows
+    and bytes are within the bounds. Returns the table and whether it was small."""
     table = durable(df)
-    small = table.limit(max_rows + 1).count() <= max_rows
+    row = sum((F.coalesce(_bytes_of(f), F.lit(16)) for f in table.schema.fields), F.lit(0))
+    rows, size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()
+    small = rows <= max_rows and size <= max_bytes
     return (F.broadcast(table), True) if small else (table, False)
