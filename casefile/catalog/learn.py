@@ -81,6 +81,30 @@ def f06(spark, sf):
     return features.encode_target(table(spark, sf, "part").select("p_partkey", "p_brand"), "p_brand")[0]
 
 
+@query(
+    "f05_wide",
+    """
+    WITH c AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS slot, count(*) OVER () AS size FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS v FROM orders))
+    SELECT o_orderkey, size::INTEGER AS size, slot::INTEGER AS slot, 1.0::DOUBLE AS value FROM orders JOIN c ON CAST(o_custkey AS VARCHAR) = v
+    """,
+)
+def f05_wide(spark, sf):
+    """A dictionary that is joined as a table, not held in a model."""
+    rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
+    parts = F.unwrap_udt("customer_vec")
+    return features.one_hot(rows, ["customer"], in_model=100).select(
+        "o_orderkey", parts["size"].alias("size"), F.get(parts["indices"], 0).alias("slot"), F.get(parts["values"], 0).alias("value")
+    )
+
+
+@query(
+    "f06_wide",
+    "SELECT l_orderkey, l_linenumber, l_partkey, CAST(dense_rank() OVER (ORDER BY l_partkey) - 1 AS DOUBLE) AS label FROM lineitem",
+)
+def f06_wide(spark, sf):
+    return features.encode_target(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey")[0]
+
+
 MATRIX_SQL = f"""
 {WITH_INCIDENTS}, filled AS (
   SELECT inc_id, coalesce(vict_age::DOUBLE, (SELECT quantile_cont(vict_age::DOUBLE, 0.5) FROM incidents)) AS vict_age, loss,

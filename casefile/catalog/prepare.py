@@ -434,3 +434,40 @@ def c09_share(spark, sf):
 @query("c10_above_threshold", f"WITH s AS ({SCORES_SQL}) SELECT doc_id, round(score, 9) AS score FROM s WHERE score >= 0.6")
 def c10(spark, sf):
     return cleaning.above_threshold(scores(spark, sf), "score").select("doc_id", F.round("score", 9).alias("score"))
+
+
+@query(
+    "j04_side_by_side",
+    """
+    WITH c AS (SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey) - 1 AS row_index FROM customer),
+    s AS (SELECT *, row_number() OVER (ORDER BY s_suppkey DESC) - 1 AS row_index FROM (SELECT s_suppkey, s_name AS c_name FROM supplier))
+    SELECT coalesce(c.row_index, s.row_index) AS row_index, c_custkey, c.c_name, s_suppkey, s.c_name AS c_name_right
+    FROM c FULL JOIN s ON c.row_index = s.row_index
+    """,
+)
+def j04(spark, sf):
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name")
+    suppliers = table(spark, sf, "supplier").select("s_suppkey", F.col("s_name").alias("c_name"), (-F.col("s_suppkey")).alias("falling"))
+    return ranking.side_by_side(customers, suppliers, ["c_custkey"], ["falling"]).drop("falling")
+
+
+@query(
+    "x15_factorize",
+    f"""
+    {WITH_INCIDENTS}, seen AS (SELECT crm_cd_desc AS v, row_number() OVER (ORDER BY min(inc_id)) - 1 AS code FROM incidents WHERE crm_cd_desc IS NOT NULL GROUP BY 1)
+    SELECT inc_id, crm_cd_desc, coalesce(code, -1) AS code FROM incidents LEFT JOIN seen ON crm_cd_desc = v
+    """,
+)
+def x15(spark, sf):
+    return ranking.factorize(incidents(spark, sf).select("inc_id", "crm_cd_desc"), "crm_cd_desc", order=["inc_id"])
+
+
+@query(
+    "x15_factorize_many",
+    """
+    WITH seen AS (SELECT o_custkey AS v, row_number() OVER (ORDER BY min(o_orderkey)) - 1 AS code FROM orders GROUP BY 1)
+    SELECT o_orderkey, o_custkey, code FROM orders JOIN seen ON o_custkey = v
+    """,
+)
+def x15_many(spark, sf):
+    return ranking.factorize(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey", order=["o_orderkey"])
