@@ -8,7 +8,7 @@ from casefile.catalog.registry import query
 from casefile.catalog.tables import AS_OF, INCIDENTS_SQL, SCORES_SQL, WITH_INCIDENTS, incidents, scores, table
 from casefile.functions import dates, hexgrid
 from casefile.functions.values import col, safe_file_name
-from casefile.operators import cleaning, schema
+from casefile.operators import cleaning, ranking, schema
 from casefile.operators.cluster_scores import combination_label, parse_combination
 from casefile.operators.series import count_per_day
 from casefile.session import scratch_folder as scratch

@@ -6,17 +6,23 @@ import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casefile.functions.values import as_text, col, long_form, missing, present_number, text_columns
 from casefile.operators.quantiles import quantiles
 from casefile.operators.schema import low_cardinality, split_by_kind
-from casefile.session import durable
+from casefile.session import broadcast_if_small, durable
 
 HISTOGRAM_BINS = 30
-# Pairwise statistics per aggregate; wider tables take several.
-PAIRS_PER_PASS = 300
+# Values that the sketch of one column follows, and those of all columns together.
+TRACKED_VALUES, TRACKED_TOTAL = 10_000, 200_000
+# Rows looked at to choose the point from which values are measured.
+SHIFT_ROWS = 1_000
 
 
 def missingness(df: DataFrame) -> DataFrame:
@@ -76,17 +82,52 @@ def numeric_histograms(df: DataFrame, columns: Sequence[str] | None = None, bins
 
 def top_categories(df: DataFrame, column: str, n: int = 20) -> DataFrame:
     """(value, count) of the most frequent values, missing counted as text."""
-    counts = df.groupBy(as_text(col(column)).alias("value")).count()
-    return counts.orderBy(F.desc("count"), "value").limit(n)
+    found = top_categories_of(df, [column], n)
+    return found.select("value", "count").orderBy(F.desc("count"), "value")
 
 
 def top_categories_of(df: DataFrame, columns: Sequence[str], n: int = 20) -> DataFrame:
-    """(column, value, count) for several columns in one pass."""
+    """(column, value, count) for several columns; values of equal count by text.
+
+    One pass proposes candidates with mergeable sketches, a second counts these exactly. A column is
+    done if its n-th count is above all that a value outside the candidates can have, or if
+    the candidates are all its rows; what is shuffled then does not grow with the distinct
+    values. The values of other columns are counted in full.
+    """
     names = [c for c in columns if c in df.columns]
+    schema = "column string, value string, count long"
+    if not names:
+        return df.sparkSession.createDataFrame([], schema)
+    texts = df.select(*[as_text(col(c)).alias(f"t{i}") for i, c in enumerate(names)])
+    tracked = max(2 * n, min(TRACKED_VALUES, TRACKED_TOTAL // len(names)))
+    wanted = min(tracked, max(4 * n, 100))
+    row = texts.agg(F.count(F.lit(1)).alias("rows"), *[F.expr(f"approx_top_k(t{i}, {wanted}, {tracked})").alias(str(i)) for i in range(len(names))]).first()
+    listed = [(i, r["item"]) for i in range(len(names)) for r in row[str(i)]]
+    candidates, _ = broadcast_if_small(df.sparkSession.createDataFrame(listed, "at int, value string"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"t{i}").alias("value")) for i in range(len(names))])
+    exact = texts.select(F.inline(pairs)).join(candidates, ["at", "value"], "left_semi").groupBy("at", "value").count()
+    counted: dict[int, list[tuple[str, int]]] = {i: [] for i in range(len(names))}
+    for r in exact.collect():  # the candidates, at most `wanted` of each column
+        counted[r["at"]].append((r["value"], r["count"]))
+    done, open_ = [], []
+    for i, c in enumerate(names):
+        best = sorted(counted[i], key=lambda x: (-x[1], x[0].encode()))[:n]
+        # sketches err by 3.5 / slots of all rows at most; what they track but did not list is below the last listed
+        slots = 1 << math.ceil(math.log2(tracked / 0.75))
+        beyond = max(row["rows"] * 3.5 / slots, row[str(i)][-1]["count"] if len(row[str(i)]) == wanted else 0)
+        if sum(k for _, k in counted[i]) == row["rows"] or (len(best) == n and best[-1][1] > beyond):
+            done += [(c, v, k) for v, k in best]
+        else:
+            open_.append(c)
+    known = df.sparkSession.createDataFrame(done, schema)
+    return known.unionByName(_counted_in_full(df, open_, n)) if open_ else known
+
+
+def _counted_in_full(df: DataFrame, names: Sequence[str], n: int) -> DataFrame:
     texts = df.select(*[as_text(col(c)).alias(c) for c in names])
-    counts = long_form(texts, names).groupBy("column", "value").count()
+    counts = long_form(texts, list(names)).groupBy("column", "value").count()
     # two steps keep the last sort small: each spread-out part is cut to its own top n
-    parts = counts.withColumn("_part", F.pmod(F.xxhash64("value"), F.lit(64)))
+    parts = counts.withColumn("_part", F.spark_partition_id())
     order = [F.desc("count"), F.asc("value")]
     local = F.row_number().over(Window.partitionBy("column", "_part").orderBy(*order))
     kept = parts.withColumn("_n", local).filter(F.col("_n") <= n)
@@ -94,26 +135,44 @@ def top_categories_of(df: DataFrame, columns: Sequence[str], n: int = 20) -> Dat
     return kept.withColumn("_n", place).filter(F.col("_n") <= n).select("column", "value", "count")
 
 
+def pair_sums(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """One matrix of sums for all pairs of columns, from one scan, and the shift of each column.
+
+    A row becomes a vector of its values (missing as 0, less the shift), their squares and 0/1
+    marks of presence. Its products with itself, added up over partitions, hold for every pair
+    the sums, squares, products and rows in which both are present.
+    """
+    values = [present_number(df, c) for c in columns]
+    # any value near the bulk of a column will do: it only keeps digits from cancelling
+    *near, rows = df.limit(SHIFT_ROWS).agg(*[F.avg(v).alias(str(i)) for i, v in enumerate(values)], F.count(F.lit(1)).alias("rows")).first()
+    if not rows:
+        return np.zeros((3 * len(columns), 3 * len(columns))), np.zeros(len(columns))
+    shift = [m if m is not None and math.isfinite(m) else 0.0 for m in near]
+    moved = [v - m for v, m in zip(values, shift)]
+    parts = [F.coalesce(x, F.lit(0.0)) for x in moved] + [F.coalesce(x * x, F.lit(0.0)) for x in moved] + [x.isNotNull().cast("double") for x in moved]
+    vectors = MLUtils.convertVectorColumnsFromML(df.select(array_to_vector(F.array(*parts)).alias("v")), "v")
+    return RowMatrix(vectors, 0, 3 * len(columns)).computeGramianMatrix().toArray(), np.array(shift)
+
+
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, measure, value): pairwise-complete Pearson correlation, full matrix."""
-    spark = df.sparkSession
-    values = {c: present_number(df, c) for c in columns}
-    pairs = list(combinations_with_replacement(columns, 2))
-    found: list[tuple[str, str, float | None]] = []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start : start + PAIRS_PER_PASS]
-        stats = []
-        for i, (a, b) in enumerate(chunk):
-            # corr() itself fails on a constant column in ANSI mode
-            x, y = F.when(values[b].isNotNull(), values[a]), F.when(values[a].isNotNull(), values[b])
-            stats += [F.covar_pop(x, y).alias(f"c{i}"), F.stddev_pop(x).alias(f"x{i}"), F.stddev_pop(y).alias(f"y{i}")]
-        row = df.agg(*stats).first()
-        for i, (a, b) in enumerate(chunk):
-            both = (row[f"x{i}"] or 0.0) * (row[f"y{i}"] or 0.0)
-            r = row[f"c{i}"] / both if both else None
-            found += [(a, b, r)] if a == b else [(a, b, r), (b, a, r)]
-    rows = [(a, b, "pearson", r) for a, b, r in found]
-    return spark.createDataFrame(rows, "a string, b string, measure string, value double")
+    """(a, b, measure, value): pairwise-complete Pearson correlation, full matrix, from one scan.
+
+    A column that does not vary (but for a 10^-11 part of its mean square) over the common rows has none.
+    """
+    schema = "a string, b string, measure string, value double"
+    if not columns:
+        return df.sparkSession.createDataFrame([], schema)
+    d = len(columns)
+    sums, _ = pair_sums(df, columns)
+    value, square, mark = slice(0, d), slice(d, 2 * d), slice(2 * d, 3 * d)
+    n, products = sums[mark, mark], sums[value, value]
+    with np.errstate(all="ignore"):
+        of_a, squares_a = sums[value, mark], sums[square, mark]  # over the rows in which b is present
+        spread_a = n * squares_a - of_a**2
+        spread_a[spread_a <= 1e-11 * n * squares_a] = 0.0
+        r = (n * products - of_a * of_a.T) / np.sqrt(spread_a * spread_a.T)
+    rows = [(a, b, "pearson", float(r[i, j]) if math.isfinite(r[i, j]) else None) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def mutual_information(df: DataFrame, columns: Sequence[str]) -> DataFrame:

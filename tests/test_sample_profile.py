@@ -134,6 +134,37 @@ def test_top_categories_ties(spark):
     assert [tuple(r) for r in profiling.top_categories(df, "v", 2).collect()] == [("a", 2), ("b", 2)]
 
 
+def test_top_categories_by_candidates(spark, monkeypatch):
+    """Heavy values are found from the sketch alone; a column without any is counted in full."""
+    rows = [(f"h{i % 5}" if i % 2 else f"r{i}", f"u{i}", "k" if i % 3 else None) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "a string, b string, c string").repartition(6)
+    full = []
+    counted = profiling._counted_in_full
+    monkeypatch.setattr(profiling, "_counted_in_full", lambda df, names, n: full.append(list(names)) or counted(df, names, n))
+    monkeypatch.setattr(profiling, "TRACKED_VALUES", 200)
+    got = profiling.top_categories_of(df, ["a", "b", "c", "gone"], 5).collect()
+    assert full == [["b", "c"]] or full == [["b"]]
+    by = lambda c: sorted(((-r["count"], r["value"]) for r in got if r["column"] == c))
+    assert by("a") == [(-2000, f"h{i}") for i in range(5)]
+    assert [v for _, v in by("b")] == sorted(f"u{i}" for i in range(20_000))[:5]
+    assert by("c") == [(-13333, "k"), (-6667, "None")]
+
+
+def test_pearson_of_many_columns_in_one_scan(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(600, 100)) @ np.triu(rng.normal(size=(100, 100))) * 10.0 ** rng.integers(-3, 4, 100) + 10.0 ** rng.integers(0, 7, 100)
+    frame = pd.DataFrame(base, columns=[f"c{i}" for i in range(100)])
+    frame = frame.mask(rng.random(frame.shape) < 0.2)
+    frame["c7"] = 3.25
+    got = profiling.pearson(spark.createDataFrame(frame).repartition(4), list(frame)).toPandas()
+    want = frame.corr().stack(future_stack=True)
+    found = got.set_index(["a", "b"])["value"]
+    for pair, r in want.items():
+        assert (np.isnan(r) and np.isnan(found[pair])) or found[pair] == pytest.approx(r, abs=1e-7)
+    empty = profiling.pearson(spark.createDataFrame(frame).limit(0), ["c0", "c1"]).collect()
+    assert len(empty) == 4 and {r["value"] for r in empty} == {None}
+
+
 def test_gaps_become_zero(spark):
     df = spark.createDataFrame([("2024-01-01",), ("2024-01-04",), (None,)], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
     assert [r["y"] for r in count_per_day(df, F.col("t")).orderBy("ds").collect()] == [1, 0, 0, 1]
