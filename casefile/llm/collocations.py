@@ -32,8 +32,10 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 # 0xFF is in no UTF-8 text.
 CUT = b"\xff"
 _TABLE = bytes.maketrans(ENDS + b"\t", CUT * len(ENDS) + b" ")
-# Words after which a shard is closed; only a single longer text makes it larger.
-SHARD_WORDS = 2_000_000
+# Words after which a shard is closed (some 300 bytes of memory each); only a single longer text makes it larger.
+SHARD_WORDS = 800_000
+# Rows of a batch that leaves a shard.
+BATCH = 1 << 16
 # The bitmap has this many bits for each frequent hash, within these powers of two (32 MB at most); a fuller one prunes less.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 6, 28
 UNKNOWN = "und"
@@ -202,7 +204,9 @@ def short_hashes(docs: DataFrame, depth: int, shard_words: int = SHARD_WORDS) ->
             index, hashes = TwoWayIndex(shard.ids, depth), _hashes(shard)
             single = index.words()
             for held in (single, index.extended(single, 0)):
-                yield pa.RecordBatch.from_arrays([pa.array(_joint(hashes, held.words).view(np.int64)), pa.array(held.counts.astype(np.int64))], names=["h", "n"])
+                for at in range(0, len(held.counts), BATCH):
+                    part = held.some(slice(at, at + BATCH))
+                    yield pa.RecordBatch.from_arrays([pa.array(_joint(hashes, part.words).view(np.int64)), pa.array(part.counts.astype(np.int64))], names=["h", "n"])
 
     return _rows(docs).mapInArrow(run, "h long, n long")
 
@@ -241,8 +245,8 @@ def shard_counts(docs: DataFrame, depth: int, bits: np.ndarray, shard_words: int
                     held = index.extended(held, size % 2)
                 ends = (held.words[:2], held.words[-2:]) if size > 1 else (held.words,)  # inner pairs were looked at before
                 held = held.some(np.logical_and.reduce([_set(bits, _joint(hashes, words)) for words in ends]))
-                for at in range(0, len(held.counts), 1 << 16):
-                    part = held.some(slice(at, at + (1 << 16)))
+                for at in range(0, len(held.counts), BATCH):
+                    part = held.some(slice(at, at + BATCH))
                     phrase = vocabulary.take(pa.array(part.words[0]))
                     for words in part.words[1:]:
                         phrase = pc.binary_join_element_wise(phrase, vocabulary.take(pa.array(words)), b" ")
