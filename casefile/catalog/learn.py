@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from casefile.catalog.registry import query
+from casefile.catalog.profile import INCIDENT_NUMBERS, histogram_sql
 from casefile.catalog.tables import WITH_INCIDENTS, incidents, table
 from casefile.config import EdaConfig, MLConfig
 from casefile.operators import explain, features
@@ -294,3 +295,38 @@ def i05_sampled(spark, sf):
 def l01(spark, sf):
     config = EdaConfig(one_class_filter=True)
     return run_eda(spark, incidents(spark, sf), config=config, as_of="2001-09-01", key="inc_id")[0]
+
+
+# The best date column of the incidents is date_rptd; with outliers kept and no column required, cleaning leaves dated rows as they are.
+PROFILE_COLUMNS = ("date_occ", "time_occ", "crm_cd_desc", "status_desc", "vict_age", "lat", "lon", "loss")
+PROFILE_SQL = f"""
+{WITH_INCIDENTS}, cleaned AS (
+  SELECT DISTINCT * FROM incidents WHERE try_cast(date_rptd AS TIMESTAMP) BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2001-09-01'
+), gaps AS (
+  {" UNION ALL ".join(f"SELECT '{c}' AS name, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS value FROM cleaned" for c in PROFILE_COLUMNS)}
+), tops AS (
+  SELECT 'crm_cd_desc' AS name, coalesce(crm_cd_desc, 'None') AS entry, count(*) AS n FROM cleaned GROUP BY ALL
+  UNION ALL SELECT 'status_desc', status_desc, count(*) FROM cleaned GROUP BY ALL
+), histograms AS (
+  SELECT * FROM (WITH {histogram_sql("cleaned", {c: c for c in INCIDENT_NUMBERS})})
+)
+SELECT 'missing' AS part, name, NULL AS entry, round(value, 9) AS value FROM gaps
+UNION ALL SELECT 'category', name, entry, n::DOUBLE FROM tops QUALIFY row_number() OVER (PARTITION BY name ORDER BY n DESC, entry) <= 20
+UNION ALL SELECT 'histogram', "column", CAST(bin AS VARCHAR), "count"::DOUBLE FROM histograms
+UNION ALL SELECT 'bounds', "column", CAST(bin AS VARCHAR), low FROM histograms
+"""
+
+
+@query("l01_profile", PROFILE_SQL)
+def l01_profile(spark, sf):
+    """Missing shares, histograms and categories of the cleaned table as one long table."""
+    config = EdaConfig(iqr_clip=False, zscore_winsor=False, drop_any_missing=False, use_us_holidays=False)
+    tables = run_eda(spark, incidents(spark, sf), config=config, as_of="2001-09-01", key="inc_id")[1]
+
+    def part(name, of, entry, value):
+        return tables[of].select(F.lit(name).alias("part"), F.col("column").alias("name"), entry.cast("string").alias("entry"), value.cast("double").alias("value"))
+
+    gaps = part("missing", "missingness", F.lit(None), F.round("fraction", 9)).filter(F.col("name").isin(*PROFILE_COLUMNS))
+    found = [part("histogram", "histograms", F.col("bin"), F.col("count")), part("bounds", "histograms", F.col("bin"), F.round("low", 6))]
+    numbers = [f.filter(F.col("name").isin(*INCIDENT_NUMBERS)) for f in found]
+    return gaps.unionByName(part("category", "top_categories", F.col("value"), F.col("count"))).unionByName(numbers[0]).unionByName(numbers[1])

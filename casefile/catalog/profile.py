@@ -28,7 +28,7 @@ def a01(spark, sf):
     return _rounded(profiling.missingness(incidents(spark, sf)), 9, "fraction")
 
 
-def _histogram_sql(source: str, columns: dict[str, str]) -> str:
+def histogram_sql(source: str, columns: dict[str, str]) -> str:
     parts = " UNION ALL ".join(f"SELECT '{n}' AS \"column\", CAST({e} AS DOUBLE) AS x FROM {source} WHERE {e} IS NOT NULL" for n, e in columns.items())
     return f"""
     v AS ({parts}),
@@ -43,14 +43,14 @@ def _histogram_sql(source: str, columns: dict[str, str]) -> str:
     """
 
 
-@query("a02_histograms", f"{WITH_INCIDENTS}, " + _histogram_sql("incidents", {c: c for c in INCIDENT_NUMBERS}))
+@query("a02_histograms", f"{WITH_INCIDENTS}, " + histogram_sql("incidents", {c: c for c in INCIDENT_NUMBERS}))
 def a02(spark, sf):
     return _rounded(profiling.numeric_histograms(incidents(spark, sf), INCIDENT_NUMBERS), 6, "low", "high")
 
 
 @query(
     "a02_histograms_lineitem",
-    "WITH " + _histogram_sql("lineitem", {c: c for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")}),
+    "WITH " + histogram_sql("lineitem", {c: c for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")}),
 )
 def a02_lineitem(spark, sf):
     return _rounded(profiling.numeric_histograms(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]), 6, "low", "high")

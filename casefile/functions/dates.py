@@ -80,12 +80,13 @@ def epoch_units(df: DataFrame, columns: list[str]) -> dict[str, str]:
             F.count_if(F.year(seconds) <= 1971).alias(f"y{i}"),
         ]
     row = df.agg(F.count(F.lit(1)).alias("n"), *stats).first()
-    units = {}
-    for i, name in enumerate(columns):
-        valid, valid_ms, early = row[f"s{i}"], row[f"m{i}"], row[f"y{i}"]
-        odd = valid < 0.5 * row["n"] or (valid > 0 and early > 0.8 * valid)
-        units[name] = "ms" if odd and valid_ms > valid else "s"
-    return units
+    return {name: epoch_unit(row["n"], row[f"s{i}"], row[f"y{i}"], row[f"m{i}"]) for i, name in enumerate(columns)}
+
+
+def epoch_unit(rows: int, valid: int, early: int, valid_ms: int) -> str:
+    """The unit by the rows, those valid as seconds, those of them no later than 1971, and those valid as milliseconds."""
+    odd = valid < 0.5 * rows or (valid > 0 and early > 0.8 * valid)
+    return "ms" if odd and valid_ms > valid else "s"
 
 
 def parse_date(df: DataFrame, name: str, units: dict[str, str] | None = None) -> Column:

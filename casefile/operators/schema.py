@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from casefile.functions import dates
 from casefile.functions.values import col, is_number, missing
+from casefile.session import durable
 
 # Column names looked for, in order of preference.
 LAT_NAMES = ("lat", "latitude", "latit", "lat_num")
@@ -113,13 +114,10 @@ def bool_to_int(df: DataFrame) -> DataFrame:
     )
 
 
-def downcast_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The narrowest type that keeps every value: whole numbers to the smallest
-    integer type, other doubles to float only where nothing is lost."""
+def downcast_stats(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[list[str], list[F.Column]]:
+    """The columns that may get a narrower type, and the aggregates that tell which."""
     names = list(columns) if columns is not None else split_by_kind(df)[0]
     names = [c for c in names if not isinstance(df.schema[c].dataType, T.DecimalType)]
-    if not names:
-        return df
     stats = []
     for i, c in enumerate(names):
         x, gone = col(c), missing(df, c)
@@ -134,7 +132,11 @@ def downcast_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
             F.bool_and(whole).alias(f"whole{i}"),
             F.bool_and(gone | (x.cast("float").cast("double") == d)).alias(f"narrow{i}"),
         ]
-    row = df.agg(*stats).first()
+    return names, stats
+
+
+def downcast_by(df: DataFrame, names: Sequence[str], row: dict) -> DataFrame:
+    """Cast to the types that the values of `downcast_stats` allow."""
     widths = (("tinyint", 2**7), ("smallint", 2**15), ("int", 2**31), ("bigint", 2**63))
     target: dict[str, str] = {}
     for i, c in enumerate(names):
@@ -148,49 +150,93 @@ def downcast_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return df.select(*[col(c).cast(target[c]).alias(c) if c in target else col(c) for c in df.columns])
 
 
+def downcast_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The narrowest type that keeps every value: whole numbers to the smallest
+    integer type, other doubles to float only where nothing is lost."""
+    names, stats = downcast_stats(df, columns)
+    return downcast_by(df, names, df.agg(*stats).first().asDict()) if names else df
+
+
 # ---- date columns -----------------------------------------------------------
 
 
-def date_candidates(df: DataFrame) -> dict[str, F.Column]:
-    """Parsed columns to choose from: preferred names, then date + time pairs, and
-    every column only if no preferred name is present."""
-    named = [c for c in DATE_NAMES if c in df.columns]
-    columns = named or [
+def _candidate_columns(df: DataFrame) -> tuple[list[str], list[tuple[str, str]]]:
+    """Columns to choose from: preferred names, every column only if none is present; and date + time pairs."""
+    columns = [c for c in DATE_NAMES if c in df.columns] or [
         f.name for f in df.schema.fields
         if isinstance(f.dataType, (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
     ]
-    units = dates.epoch_units(df, [c for c in columns if is_number(df.schema[c].dataType)])
-    parsed = {c: dates.parse_date(df, c, units) for c in columns}
-    for d in DATE_PART_NAMES:
-        for t in TIME_PART_NAMES:
-            if d in df.columns and t in df.columns:
-                parsed[f"{d}+{t}"] = dates.combine_date_time(df, d, t, units)
-    return parsed
+    return columns, [(d, t) for d in DATE_PART_NAMES for t in TIME_PART_NAMES if d in df.columns and t in df.columns]
 
 
-def score_date_columns(df: DataFrame, as_of=None, candidates: dict[str, F.Column] | None = None) -> DataFrame:
-    """Score of every candidate date column, one row each, in one pass.
+def _parsed(df: DataFrame, units: dict[str, str]) -> dict[str, F.Column]:
+    columns, pairs = _candidate_columns(df)
+    found = {c: dates.parse_date(df, c, units) for c in columns}
+    return found | {f"{d}+{t}": dates.combine_date_time(df, d, t, units) for d, t in pairs}
 
-    score = valid rate x (0.5 + 0.5 x share in the plausible range), less 0.5 when
-    one day holds over 80 % of the valid dates.
+
+def _numeric_dates(df: DataFrame) -> list[str]:
+    """Number columns of which it must be found out whether they hold seconds or milliseconds."""
+    columns, pairs = _candidate_columns(df)
+    return [c for c in dict.fromkeys([*columns, *(d for d, _ in pairs)]) if is_number(df.schema[c].dataType)]
+
+
+def date_candidates(df: DataFrame) -> dict[str, F.Column]:
+    """Parsed columns to choose from: preferred names, then date + time pairs, and
+    every column only if no preferred name is present."""
+    return _parsed(df, dates.epoch_units(df, _numeric_dates(df)))
+
+
+def _scored_readings(df: DataFrame, as_of) -> tuple[DataFrame, dict[str, F.Column]]:
+    """(position, candidate, day, n, good) of every candidate, and how it is parsed, from one pass.
+
+    Numbers are counted as seconds and as milliseconds; the counts per day then tell
+    which of the two they are.
     """
-    named = any(c in df.columns for c in DATE_NAMES)
-    candidates = candidates or date_candidates(df)
-    order = {name: i for i, name in enumerate(candidates)}
-    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("candidate"), candidates[n].alias("ts")) for n, i in order.items()])
+    numbers = _numeric_dates(df)
+    readings: list[tuple[int, str, str, F.Column]] = []
+    for unit in ("s", "ms") if numbers else ("s",):
+        parsed = _parsed(df, {c: unit for c in numbers})
+        readings += [(i, name, unit, ts) for i, (name, ts) in enumerate(parsed.items())]
+        readings += [(-1 - i, c, unit, dates.parse_date(df, c, {c: unit})) for i, c in enumerate(numbers) if c not in parsed]
+    of_number = lambda name: name in numbers or name.split("+")[0] in numbers
+    readings = [r for r in readings if r[2] == "s" or of_number(r[1])]
+    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("candidate"), F.lit(u).alias("unit"), ts.alias("ts")) for i, n, u, ts in readings])
     low, high = F.lit(FIRST_DAY).cast(dates.NTZ), dates.as_of_column(as_of)
-    per_day = (
+    per_day = durable(
         df.select(F.inline(rows))
-        .groupBy("position", "candidate", F.col("ts").cast("date").alias("day"))
+        .groupBy("position", "candidate", "unit", F.col("ts").cast("date").alias("day"))
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ts").between(low, high)).alias("good"))
     )
+    units = {c: "s" for c in numbers}
+    if numbers:
+        counts = per_day.filter(F.col("candidate").isin(numbers)).groupBy("candidate").pivot("unit", ["s", "ms"]).agg(
+            F.sum("n").alias("n"), F.sum(F.when(F.col("day").isNotNull(), F.col("n")).otherwise(0)).alias("valid"),
+            F.sum(F.when(F.year("day") <= 1971, F.col("n")).otherwise(0)).alias("early"),
+        )
+        units |= {r["candidate"]: dates.epoch_unit(r["s_n"], r["s_valid"], r["s_early"], r["ms_valid"]) for r in counts.collect()}
+    chosen = [(n, u) for _, n, u, _ in readings if u == (units[n] if n in units else units.get(n.split("+")[0], "s"))]
+    picked = F.concat_ws("\u0000", "candidate", "unit").isin(["\u0000".join(c) for c in chosen])
+    return per_day.filter(picked & (F.col("position") >= 0)).drop("unit"), _parsed(df, units)
+
+
+def score_date_columns(df: DataFrame, as_of=None) -> DataFrame:
+    """Score of every candidate date column, one row each, in one pass.
+
+    score = valid rate x (0.5 + 0.5 x share in the plausible range), less 0.5 when
+    one day holds over 80 % of the valid dates.
+    """
+    return _scores(df, _scored_readings(df, as_of)[0])
+
+
+def _scores(df: DataFrame, per_day: DataFrame) -> DataFrame:
     valid = F.sum(F.when(F.col("day").isNotNull(), F.col("n")))
     stats = per_day.groupBy("position", "candidate").agg(
         (F.coalesce(valid, F.lit(0)) / F.sum("n")).alias("valid_rate"),
         F.coalesce(F.sum("good") / valid, F.lit(0.0)).alias("good_share"),
         F.coalesce(F.max(F.when(F.col("day").isNotNull(), F.col("n"))) / valid, F.lit(0.0)).alias("top_share"),
     )
-    if not named:
+    if not any(c in df.columns for c in DATE_NAMES):
         stats = stats.filter(F.col("valid_rate") > 0.5)
     penalty = F.when(F.col("top_share") > 0.8, 0.5).otherwise(0.0)
     score = F.col("valid_rate") * (0.5 + 0.5 * F.col("good_share")) - penalty
@@ -201,12 +247,12 @@ def score_date_columns(df: DataFrame, as_of=None, candidates: dict[str, F.Column
 
 def choose_date_column(df: DataFrame, as_of=None) -> tuple[str, F.Column]:
     """Name and parsed form of the best date column; ties go to the earlier one."""
-    candidates = date_candidates(df)
-    if candidates:
-        best = score_date_columns(df, as_of, candidates).filter("chosen = 1").select("candidate").first()
+    if _candidate_columns(df)[0]:
+        per_day, parsed = _scored_readings(df, as_of)
+        best = _scores(df, per_day).filter("chosen = 1").select("candidate").first()
         if best is not None:
-            return best["candidate"], candidates[best["candidate"]]
-    raise ValueError("no suitable date column found")
+            return best["candidate"], parsed[best["candidate"]]
+    raise ValueError("none of the columns can be read as a date")
 
 
 def add_fixed_date(df: DataFrame, as_of=None, date_col: str | None = None) -> DataFrame:

@@ -13,27 +13,36 @@ from casefile.functions.hexgrid import add_hex_cell
 from casefile.functions.values import col, nan_to_null, present_number
 from casefile.operators import cleaning, profiling, schema
 from casefile.operators.series import count_per_day
-from casefile.session import stored
+from casefile.session import stored, stored_with
 from casefile.sources import load_table, save_table
 from casefile.sources.tables import PARQUET_SUFFIX
 
 CALENDAR_COLUMNS = ("year", "month", "weekday", "hour", "is_weekend", "is_holiday")
 
 
+def _flag_checks(df: DataFrame, config: EdaConfig) -> tuple[list[str], list[F.Column]]:
+    """Numeric columns that may be bounded, and whether each holds nothing but 0 and 1."""
+    numeric = schema.split_by_kind(df)[0]
+    if config.clip_calendar_columns:
+        return numeric, []
+    numeric = [c for c in numeric if c not in CALENDAR_COLUMNS]
+    return numeric, [F.bool_and(F.coalesce(present_number(df, c).isin(0.0, 1.0), F.lit(True))).alias(f"flag{i}") for i, c in enumerate(numeric)]
+
+
 def outlier_columns(df: DataFrame, config: EdaConfig) -> list[str]:
     """Numeric columns to bound. Calendar columns and 0/1 flags stay out, since the
     clip would wipe a rare flag; `clip_calendar_columns` takes all of them in."""
-    numeric = schema.split_by_kind(df)[0]
-    if config.clip_calendar_columns or not numeric:
-        return numeric
-    numeric = [c for c in numeric if c not in CALENDAR_COLUMNS]
-    checks = [F.bool_and(F.coalesce(present_number(df, c).isin(0.0, 1.0), F.lit(True))).alias(str(i)) for i, c in enumerate(numeric)]
-    flags = df.agg(*checks).first() if numeric else {}
-    return [c for i, c in enumerate(numeric) if not flags[str(i)]]
+    numeric, checks = _flag_checks(df, config)
+    flags = df.agg(*checks).first().asDict() if checks else {}
+    return [c for i, c in enumerate(numeric) if not flags.get(f"flag{i}")]
 
 
 def clean(raw: DataFrame, config: EdaConfig = EdaConfig(), as_of=None) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """The cleaned table, and the tables looked at on the way (time pivots, issues)."""
+    """The cleaned table, and the tables looked at on the way (time pivots, issues).
+
+    The source is read twice: to choose the date column, and to write the dated rows. All else
+    reads these; what types and flags need is collected while the distinct rows are written.
+    """
     _, ts = schema.choose_date_column(raw, as_of)
     dated = cleaning.filter_date_range(raw.withColumn("_ts", ts), F.col("_ts"), as_of=as_of)
     df = dated.withColumn("date_dt", F.col("_ts")).withColumn("date", dates.midnight(F.col("_ts")))
@@ -41,7 +50,7 @@ def clean(raw: DataFrame, config: EdaConfig = EdaConfig(), as_of=None) -> tuple[
         df = df.withColumn(name, expr)
     df = schema.normalize_columns(df.drop("_ts"))
     df, dt_col = schema.infer_datetime_columns(df)
-    df = nan_to_null(dates.add_time_features(df, dt_col, config.use_us_holidays))
+    df = stored(nan_to_null(dates.add_time_features(df, dt_col, config.use_us_holidays)))
     lat, lon = schema.coordinate_columns(df)
     seen = {
         "hour_day": profiling.hour_day_pivot(df),
@@ -50,10 +59,11 @@ def clean(raw: DataFrame, config: EdaConfig = EdaConfig(), as_of=None) -> tuple[
     }
     if config.add_hex:
         df = add_hex_cell(df, lat, lon, config.hex_size_m)
-    # the statistics below need several passes each
-    df = stored(cleaning.deduplicate(df))
-    df = schema.downcast_numeric(df)
-    columns = outlier_columns(df, config)
+    narrow, stats = schema.downcast_stats(df)
+    numeric, checks = _flag_checks(df, config)
+    df, found = stored_with(cleaning.deduplicate(df), [*stats, *checks])
+    df = schema.downcast_by(df, narrow, found)
+    columns = [c for i, c in enumerate(numeric) if not found.get(f"flag{i}")]
     if config.iqr_clip:
         df = cleaning.iqr_clip(df, columns, config.iqr_multiplier)
     if config.zscore_winsor:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,6 +72,14 @@ def stored(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
+def stored_with(df: DataFrame, metrics: Sequence[Column]) -> tuple[DataFrame, dict]:
+    """Like `stored`, with aggregates of the rows that are collected while they are written."""
+    seen = Observation()
+    watched = df.observe(seen, *metrics) if metrics else df
+    table = stored(watched)
+    return table, seen.get if metrics else {}
+
+
 def spread(table: DataFrame) -> DataFrame:
     """Deal a stored table out to all cores when its files make fewer partitions.
 

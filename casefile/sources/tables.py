@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casefile.sources.text_types import read_typed_csv
+
 # Suffixes understood when reading and when writing.
 CSV_SUFFIXES = (".csv", ".csv.gz", ".csv.bz2")
 PARQUET_SUFFIX = ".parquet"
@@ -25,8 +27,8 @@ def load_table(
 ) -> DataFrame:
     """A DataFrame as it is, or the Parquet / CSV table behind a path.
 
-    CSV types are inferred over the whole column unless a schema is given; give
-    one for big files, it saves a full extra read.
+    CSV types are found over the whole column, in the one reading that copies the text to
+    Parquet, unless a schema is given.
     """
     if isinstance(source, DataFrame):
         return source
@@ -35,8 +37,9 @@ def load_table(
     if lowered.endswith(PARQUET_SUFFIX):
         return spark.read.parquet(path)
     if lowered.endswith(CSV_SUFFIXES):
-        reader = spark.read.option("header", True).option("multiLine", False)
-        return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+        if schema is None:
+            return read_typed_csv(spark, path)
+        return spark.read.option("header", True).option("multiLine", False).schema(schema).csv(path)
     raise ValueError(f"unsupported table format: {path} (use .parquet, .csv, .csv.gz or .csv.bz2)")
 
 

@@ -8,8 +8,11 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from casefile.operators import features, quantiles, ranking
+from casefile.operators import features, quantiles, ranking, schema
 from casefile.operators.dictionaries import dictionary_of
+from casefile.plans import run_eda
+from casefile.sources import load_table
+from casefile.sources.text_types import read_typed_csv
 
 
 def test_row_index_is_gapless(spark):
@@ -100,3 +103,51 @@ def test_quantiles_and_summaries(spark, exact_rows):
 def test_quantile_plans_gather_no_values(spark, capsys):
     """Sketches have a bound in bytes for all columns together."""
     assert quantiles._sketch_size(1) == quantiles.MOST_SKETCH and quantiles._sketch_size(10_000) * 24 * 10_000 <= 2 * quantiles.SKETCH_BYTES
+
+
+@pytest.mark.parametrize("suffix", [".csv", ".csv.gz"])
+def test_csv_types_in_one_reading(spark, tmp_path, suffix):
+    """Types hold for all values, also where a text comes last; rows of a wrong length are kept."""
+    import gzip
+
+    lines = ["a,b,c,d,e,f,g,h,i", *[f"{i},{i * 3_000_000_000},{i}.5,2020-01-{i % 28 + 1:02d},2020-01-01 10:00:{i % 60:02d},{'true' if i % 2 else 'False'},{i},,007" for i in range(5_000)]]
+    lines += ["1,2,1e3,2020-02-30x,2020-01-01,true,late,,12", "5,6", "7,8,9.0,x,2020-01-01,true,y,,1,10"]
+    data = ("\n".join(lines) + "\n").encode()
+    path = f"{tmp_path}/t{suffix}"
+    with open(path, "wb") as out:
+        out.write(gzip.compress(data) if suffix.endswith("gz") else data)
+    read = load_table(spark, path)
+    assert [f.dataType.simpleString() for f in read.schema.fields] == ["int", "bigint", "double", "string", "timestamp", "boolean", "string", "string", "int"]
+    assert read.count() == 5_003 and read.filter("a = 5 AND c IS NULL AND b = 6").count() == 1
+    assert all(name.endswith(".parquet") for name in read.inputFiles())
+    kept = read_typed_csv(spark, path, malformed="raw")
+    assert sorted(r["raw"] for r in kept.filter("raw IS NOT NULL").select("raw").collect()) == ["5,6", "7,8,9.0,x,2020-01-01,true,y,,1,10"]
+
+
+def test_run_eda_reads_its_source_twice(spark):
+    """Once to choose the date column, once to write the dated rows; all tables come from these."""
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        reads.add(1)
+        return x
+
+    rows = [(f"2020-01-{i % 28 + 1:02d}", 1_577_836_800 + i, 34.0, -118.0, "x" if i % 2 else "y") for i in range(200)]
+    raw = spark.createDataFrame(rows, "date_rptd string, stamp long, lat double, lon double, crm_cd_desc string").withColumn("date_rptd", seen.asNondeterministic()("date_rptd"))
+    cleaned, tables = run_eda(spark, raw, as_of="2024-01-01", use_us_holidays=False)
+    assert cleaned.count() == 200 and all(t.count() >= 0 for t in tables.values())
+    assert 400 <= reads.value <= 800  # a reading may evaluate the column twice
+
+
+def test_seconds_and_milliseconds_are_told_apart_in_one_pass(spark):
+    rows = [(1_577_836_800 + i * 86_400, (1_577_836_800 + i * 86_400) * 1000, i) for i in range(50)]
+    df = spark.createDataFrame(rows, "s long, ms long, small int")
+    per_day, parsed = schema._scored_readings(df, "2024-01-01")
+    assert per_day.select("candidate").distinct().count() == 3
+    day = lambda name: df.select(parsed[name].cast("date").cast("string")).first()[0]
+    assert day("s") == day("ms") == "2020-01-01" and day("small") == "1970-01-01"
+    assert schema.choose_date_column(df, "2024-01-01")[0] == "s"
+    pair = spark.createDataFrame([(1_577_836_800_000, 930)], "date_occ long, time_occ int")
+    name, ts = schema.choose_date_column(pair, "2024-01-01")
+    assert name == "date_occ" and pair.select(schema.date_candidates(pair)["date_occ+time_occ"].cast("string")).first()[0].startswith("2020-01-01 09:30")
