@@ -36,6 +36,27 @@ def u03(spark, sf):
     return _rounded(embedding.pca2(_vectors(spark, sf)).select("vec_id", "vec"))
 
 
+# A whole basis keeps every length, so the basis is checked row by row without its vectors being known.
+@query("u01_whole_basis", "SELECT vec_id, round(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x)), 6) AS energy FROM embeddings")
+def u01_whole(spark, sf):
+    df = _vectors(spark, sf)
+    vec = embedding._project(F.col("features"), embedding.svd_basis(df, components=64))
+    return df.select("vec_id", F.round(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x), 6).alias("energy"))
+
+
+@query(
+    "u03_whole_basis",
+    """
+    WITH x AS (SELECT vec_id, unnest(embedding::DOUBLE[]) AS v, generate_subscripts(embedding, 1) AS j FROM embeddings),
+    m AS (SELECT j, avg(v) AS mean FROM x GROUP BY j)
+    SELECT vec_id, round(sum((v - mean) * (v - mean)), 6) AS energy FROM x JOIN m USING (j) GROUP BY vec_id
+    """,
+)
+def u03_whole(spark, sf):
+    done = embedding.pca2(_vectors(spark, sf), components=64)
+    return done.select("vec_id", F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x), 6).alias("energy"))
+
+
 @query(
     "j07_knn_graph",
     """

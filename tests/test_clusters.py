@@ -99,6 +99,32 @@ def test_kmeans_finds_blobs(spark):
     assert all(len(set(got[i : i + 30])) == 1 for i in (0, 30, 60)) and len(set(got)) == 3
 
 
+def test_svd_of_wide_sparse_rows(spark):
+    """Thousands of one-hot slots: leading values and projections as numpy has them."""
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(6)
+    width = 1200
+    weight = 1.0 / np.arange(1, 401)
+    rows = []
+    for _ in range(900):
+        a, b = rng.choice(400, p=weight / weight.sum()), rng.integers(400, width)
+        rows.append({0: float(rng.normal()) * 5 + 2} | {int(1 + a) % 400 or 1: 1.0} | {int(b): 1.0})
+    x = np.zeros((len(rows), width))
+    for i, r in enumerate(rows):
+        for j, v in r.items():
+            x[i, j] = v
+    df = spark.createDataFrame([(i, Vectors.sparse(width, r)) for i, r in enumerate(rows)], ["id", "features"]).repartition(5)
+    basis = embedding.svd_basis(df, components=4)
+    values, want = np.linalg.svd(x, full_matrices=False)[1:]
+    assert np.allclose(basis.T @ basis, np.eye(4), atol=1e-9)
+    assert np.allclose(np.linalg.norm(x @ basis, axis=0), values[:4], rtol=1e-5)
+    assert np.abs(basis[:, 0] @ want[0]) > 1 - 1e-6
+    got = np.stack(embedding.pca2(df, components=3).orderBy("id").toPandas()["vec"].to_numpy())
+    centred = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)[1]
+    assert np.allclose(np.linalg.norm(got, axis=0), centred[:3], rtol=1e-5)
+
+
 def test_svd_and_pca_match_numpy(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(80, 6)) @ np.diag([5, 4, 3, 1, 0.5, 0.1]) + 2
