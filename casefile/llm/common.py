@@ -58,3 +58,18 @@ def bounded_ids(labels: DataFrame, rows: int) -> DataFrame:
     if total > 0.9 * rows:
         ids = ids.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fit")), F.lit(1 << 30)) < int((1 << 30) * 0.9 * rows / total))
     return ids.limit(rows)
+
+
+def taken_from(text: Column, most_bytes: int, pieces: int = 4) -> Column:
+    """A text of up to `most_bytes` as it is; of a longer one `pieces` pieces at places that a hash of it chooses, `most_bytes` in all at most.
+
+    For learning from a bounded number of labelled texts of any length.
+    """
+    size = most_bytes // (4 * pieces)  # characters of up to four bytes
+    room = F.length(text) - size
+
+    def piece(k: int) -> Column:
+        at = F.floor(room / pieces * k + F.pmod(F.xxhash64(text, F.lit(k)), F.lit(1 << 20)) / float(1 << 20) * room / pieces)
+        return F.substr(text, at.cast("int") + 1, F.lit(size))
+
+    return F.when(F.octet_length(text) <= most_bytes, text).otherwise(F.concat_ws(" ", *[piece(k) for k in range(pieces)]))

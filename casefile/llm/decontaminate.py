@@ -134,6 +134,8 @@ def template(text: str | None) -> Template:
     low = _lower(text, data)
     numbers, units = _constant(NUMBER_WORDS), _constant(UNIT_WORDS)
     parts, begin = [], 0
+    # what a cut must not forget: whether a stop sign came since the last word, and whether that was a number
+    opening, after_number = True, False
     while begin < len(data):
         end = min(len(data), begin + PIECE)
         if end < len(data):  # a long text is cut between words where there is a blank
@@ -159,11 +161,14 @@ def template(text: str | None) -> Template:
             second = np.minimum(starts + 1, len(b) - 1)
             name = (n_changed == 1) & (changed[starts] | ((b[starts] >= 128) & changed[second])) & (ends - starts > 1)
             stops = np.concatenate([[0], np.cumsum(_STOP[b] & ~word)])
-            opens = np.concatenate([[begin == 0], stops[starts[1:]] > stops[ends[:-1]]])
+            opens = np.concatenate([[opening or stops[starts[0]] > 0], stops[starts[1:]] > stops[ends[:-1]]])
             number = digit[starts] | np.isin(h, numbers)
-            unit = np.isin(h, units) & np.concatenate([[False], number[:-1]])
+            unit = np.isin(h, units) & np.concatenate([[after_number], number[:-1]])
+            opening, after_number = bool(stops[-1] > stops[ends[-1]]), bool(number[-1])
             kinds = np.select([number, unit, name & ~opens], [1, 3, 2], 0).astype(np.uint8)
             parts.append((np.where(kinds > 0, _MARKS[kinds], h), h, kinds, starts + begin, ends + begin, name))
+        else:
+            opening = opening or bool(_STOP[b].any())
         begin = end
     if not parts:
         return Template(low, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))

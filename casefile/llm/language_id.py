@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from casefile.llm.common import held_out
+from casefile.llm.common import held_out, taken_from
 
-# Per language: known texts taken, the longest of them, and bytes of the dictionary.
+# Per language: known texts taken, bytes taken of one (longer ones give pieces from all over them), and bytes of the dictionary.
 SAMPLE_TEXTS = 400
 SAMPLE_TEXT_BYTES = 8192
 DICTIONARY_BYTES = 1 << 18
+# Languages, each with a dictionary in every task; more are an error.
+MOST_LANGUAGES = 1000
 LEVEL = 3
 # Bytes by which the runner-up must be larger, as a share of its size.
 NARROW = 0.01
@@ -39,22 +41,25 @@ def plain_words(text: str) -> str:
     return " ".join(word for word, _ in groupby(WORD.findall(text.lower())))
 
 
-def language_samples(known: DataFrame) -> dict[str, bytes]:
+def language_samples(known: DataFrame, most_languages: int = MOST_LANGUAGES) -> dict[str, bytes]:
     """A dictionary of bounded size for each language of (doc_id, text, lang), the most frequent first.
 
-    Texts are taken in the order of a hash of the id. Languages are few (one or two kilobytes of
-    Python objects each besides the dictionary); their number is the only thing here that may grow.
+    Texts are taken in the order of a hash of the id, long ones in pieces, so that a language that has only
+    long texts is learned too. More than `most_languages` languages are an error.
     """
-    fit = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.octet_length("text").between(1, SAMPLE_TEXT_BYTES))
+    fit = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") > 0))
     fit = fit.select("lang", "text", F.xxhash64(F.col("doc_id"), F.lit("sample")).alias("h"))
-    held = F.broadcast(fit.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    counts = fit.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(most_languages + 1).collect()
+    if len(counts) > most_languages:
+        raise ValueError(f"more than {most_languages} languages are labelled")
+    held = F.broadcast(known.sparkSession.createDataFrame(counts, "lang string, n long"))
     # a hash threshold leaves about twice the rows wanted of each language, however many it has
     slots = F.pmod(F.col("h"), F.lit(1 << 30)).cast("double") / (1 << 30)
-    few = fit.join(held, "lang").filter(slots * F.col("n") < 2 * SAMPLE_TEXTS).select("lang", "text", "h")
+    few = fit.join(held, "lang").filter(slots * F.col("n") < 2 * SAMPLE_TEXTS).select("lang", taken_from(F.col("text"), SAMPLE_TEXT_BYTES).alias("text"), "h")
     ranked = few.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).filter(F.col("r") <= SAMPLE_TEXTS)
     size = F.sum(F.octet_length("text") + 1).over(W.partitionBy("lang").orderBy("r"))
     ranked = ranked.withColumn("size", size).filter((F.col("size") <= DICTIONARY_BYTES) | (F.col("r") == 1))
-    found: dict[str, list[bytes]] = {r["lang"]: [] for r in sorted(held.collect(), key=lambda r: (-r["n"], r["lang"]))}
+    found: dict[str, list[bytes]] = {r["lang"]: [] for r in sorted(counts, key=lambda r: (-r["n"], r["lang"]))}
     for row in sorted(ranked.select("lang", "r", "text").collect(), key=lambda row: (row["lang"], -row["r"])):
         found[row["lang"]].append(plain_words(row["text"]).encode())
     return {lang: b" ".join(texts) for lang, texts in found.items()}
@@ -93,8 +98,10 @@ def identify_languages(docs: DataFrame, samples: dict[str, bytes], level: int =
     """
     types = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("confident", pa.bool_())])
 
+    shared = docs.sparkSession.sparkContext.broadcast(samples)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        identify = identifier(samples, level)
+        identify = identifier(shared.value, level)
         for batch in batches:
             found = [identify(t.as_py()) for t in batch.column(2)]
             columns = [pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), list(types)[2:], strict=True)] if found else [pa.array([], f.type) for f in list(types)[2:]]

@@ -2,25 +2,26 @@
 
 A classifier learned from labelled rows gives every document a share in each domain. The expected
 tokens of a domain are the sum of rate x tokens x share. Projected gradient steps on the squared
-distance to the targets find rates that are never negative; each step is one pass that adds up as
-many numbers as there are domains. All of it is DataFrame expressions.
+distance to the targets find rates that are never negative; each step is one pass that adds up a number
+for each domain and pair of domains. All of it is DataFrame expressions.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from casefile.llm.common import fresh_name
+from casefile.llm.common import fresh_name, taken_from
 from casefile.session import durable
 
-# Labelled rows used to learn, the longest text among them, marker words of a domain.
+# Labelled rows used to learn, bytes taken of one (longer texts give pieces from all over them), marker words of a domain.
 FIT_ROWS, FIT_BYTES, MARKERS = 4000, 16_384, 60
-STEPS, TOLERANCE, PULL = 60, 1e-6, 1e-3
-# How many times the tokens of the corpus a mix without losses may have.
+STEPS, TOLERANCE = 60, 1e-6
+# How many times the tokens of the corpus a mix without losses may have, if nothing else is asked for.
 MOST_TOTAL = 4.0
 # Words here are runs of anything but blanks and ASCII punctuation or digits.
 NOT_WORD = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -48,12 +49,12 @@ def learn_domains(labelled: DataFrame, rows: int = FIT_ROWS, markers: int = MARK
     its documents is the furthest above their share of all others. The number of domains is that of
     the targets a user writes down, so their few numbers may come to the driver.
     """
-    known = labelled.filter(F.col("text").isNotNull() & F.col("domain").isNotNull() & (F.octet_length("text") <= FIT_BYTES))
+    known = labelled.filter(F.col("text").isNotNull() & F.col("domain").isNotNull())
     known = known.select(F.col("domain").cast("string").alias("domain"), F.col("text").cast("string").alias("text"))
     total = known.select("domain").count()
     if total > rows:
         known = known.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * rows / total))
-    sample = durable(known.select("domain", F.array_distinct(words_of(F.col("text"))).alias("words")))
+    sample = durable(known.select("domain", F.array_distinct(words_of(taken_from(F.col("text"), FIT_BYTES))).alias("words")))
     held = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     names, n = sorted(held), sum(held.values())
     if not names:
@@ -109,39 +110,64 @@ def measured(text: Column, domains: Domains) -> Column:
     return F.get(F.transform(F.array(words_of(text)), look), F.lit(0))
 
 
-def fit_steps(table: DataFrame, weights: list[float], floor: float = 0.0, pull: float = PULL, steps: int = STEPS, tolerance: float = TOLERANCE) -> list[list[float]]:
-    """Gradients of all steps until the token totals are within `tolerance` of their targets or no longer get nearer.
+@dataclass(frozen=True)
+class Fit:
+    """The moves of all steps, and how far the total of each domain is from its target, as a share of the corpus."""
+
+    history: list[list[float]]
+    gaps: list[float]
+
+
+def fit_steps(table: DataFrame, weights: list[float], floor: float = 0.0, steps: int = STEPS, tolerance: float = TOLERANCE, most_total: float = MOST_TOTAL) -> Fit:
+    """Projected gradient steps until all token totals are within `tolerance` of their targets or no step gets nearer.
 
     `table` has `tokens` and `shares`; `weights` add up to 1. A step turns rate r of a document with
-    shares p into max(floor, r - p . g - pull * (r - 1)), so its whole history is a list of vectors g.
-    With floor 0 the targets are `weights` of the corpus as it is. With a higher one they are those of
-    a total in which the most over-represented domain keeps all it has, `MOST_TOTAL` times the corpus
-    at most; beyond that the totals only come as near as they can.
+    shares p into max(floor, r - p . g), so its whole history is a list of vectors g. The gradient of
+    the squared distance is p . (totals - targets); it is scaled by the inverse of the sums of
+    tokens x p p' over documents above the floor, which one pass gives along with the totals, so that domains
+    whose shares overlap take no more steps than separate ones. A step that does not get
+    nearer is halved. With floor 0 the targets are `weights` of the corpus as it is. With a higher one they are
+    those of a total in which the most over-represented domain keeps all it has, `most_total` times the corpus at
+    most; what is then missing is in the gaps.
     """
     width = len(weights)
-    base = table.agg(F.sum("tokens").alias("t"), *[F.sum(F.col("tokens") * F.col("shares")[d]).alias(f"d{d}") for d in range(width)]).first()
-    if not base["t"]:
-        return []
-    now = [base[f"d{d}"] / base["t"] for d in range(width)]
-    scale = [max(n, 1e-9) for n in now]
-    total = min(MOST_TOTAL, max(n / w for n, w in zip(now, weights, strict=True) if w > 0)) if floor > 0 else 1.0
-    target = [w * total for w in weights]
+    pairs = [(d, e) for d in range(width) for e in range(d, width)]
+
+    def measure(history: list[list[float]]) -> tuple[np.ndarray, np.ndarray, float]:
+        rated = table.select("tokens", "shares", rate_of(F.col("shares"), history, floor).alias("r"))
+        free = F.when(F.col("r") > floor, F.col("tokens")).otherwise(0.0)
+        sums = [F.sum(F.col("tokens") * F.col("r") * F.col("shares")[d]).alias(f"d{d}") for d in range(width)]
+        sums += [F.sum(free * F.col("shares")[d] * F.col("shares")[e]).alias(f"h{d}_{e}") for d, e in pairs]
+        row = rated.agg(F.sum("tokens").alias("t"), *sums).first()
+        if not row["t"]:
+            return np.zeros(width), np.zeros((width, width)), 0.0
+        metric = np.zeros((width, width))
+        for d, e in pairs:
+            metric[d, e] = metric[e, d] = row[f"h{d}_{e}"] / row["t"]
+        return np.array([row[f"d{d}"] for d in range(width)]) / row["t"], metric, row["t"]
+
+    now, metric, tokens = measure([])
+    if not tokens:
+        return Fit([], [0.0] * width)
+    total = min(most_total, max(n / w for n, w in zip(now, weights, strict=True) if w > 0)) if floor > 0 else 1.0
+    target = np.array(weights) * total
     history: list[list[float]] = []
-    last = float("inf")
+    size = 1.0
     for _ in range(steps):
-        off = [now[d] - target[d] for d in range(width)]
-        distance = sum(o * o / c for o, c in zip(off, scale, strict=True))
-        if max(map(abs, off)) < tolerance or distance > last * 0.99:
+        off = now - target
+        if np.abs(off).max() < tolerance or size < 1e-3:
             break
-        last = distance
-        history.append([off[d] / scale[d] for d in range(width)])
-        rate = F.col("tokens") * rate_of(F.col("shares"), history, floor, pull)
-        row = table.agg(*[F.sum(rate * F.col("shares")[d]).alias(f"d{d}") for d in range(width)]).first()
-        now = [row[f"d{d}"] / base["t"] for d in range(width)]
-    return history
+        move = size * (np.linalg.pinv(metric, rcond=1e-9, hermitian=True) @ off)
+        tried, tried_metric, _ = measure([*history, move.tolist()])
+        if np.square(tried - target).sum() < np.square(off).sum():
+            history.append(move.tolist())
+            now, metric, size = tried, tried_metric, min(1.0, 2 * size)
+        else:
+            size /= 4
+    return Fit(history, (now - target).tolist())
 
 
-def rate_of(shares: Column, history: list[list[float]], floor: float = 0.0, pull: float = PULL) -> Column:
+def rate_of(shares: Column, history: list[list[float]], floor: float = 0.0) -> Column:
     """Rate of a document after all steps, beginning with 1 and never below `floor`."""
     if not history:
         return F.lit(1.0)
@@ -149,36 +175,41 @@ def rate_of(shares: Column, history: list[list[float]], floor: float = 0.0, pull
 
     def step(rate: Column, g: Column) -> Column:
         move = F.aggregate(F.zip_with(shares, g, lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(F.lit(float(floor)), (1 - pull) * rate - move + pull)
+        return F.greatest(F.lit(float(floor)), rate - move)
 
     return F.aggregate(steps, F.lit(1.0), step)
 
 
 @dataclass(frozen=True)
 class Mix:
-    """`table` holds (doc_id, tokens, shares) of the rows that it was fitted on."""
+    """`table` holds (doc_id, tokens, shares) of the rows that it was fitted on; `gaps`: what each domain's share of tokens misses its target by."""
 
     domains: Domains
     history: list[list[float]]
     floor: float
     table: DataFrame
+    gaps: dict[str, float]
 
     def rate(self, shares: Column) -> Column:
         return rate_of(shares, self.history, self.floor) if self.domains.names else F.lit(1.0)
 
 
-def fit_mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, floor: float = 0.0) -> Mix:
+def fit_mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, floor: float = 0.0, most_gap: float | None = None) -> Mix:
     """Learn the domains from `labelled` (text, domain) and fit rates for all of `docs`.
 
     `weights` names the wanted share of each domain (in any unit; domains left out get 0, unknown
-    ones are ignored); without it all domains weigh the same. No rate gets below `floor`.
+    ones are ignored); without it all domains weigh the same. No rate gets below `floor`. A gap above
+    `most_gap` is an error if that is given.
     """
     domains = learn_domains(labelled)
     wanted = [float((weights or {}).get(d, 0.0 if weights else 1.0)) for d in domains.names]
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), measured(docs["text"], domains).alias("m"))
     table = durable(rows.select("doc_id", "m.tokens", "m.shares"))
-    history = fit_steps(table, [w / sum(wanted) for w in wanted], floor) if sum(wanted) > 0 else []
-    return Mix(domains, history, floor, table)
+    fit = fit_steps(table, [w / sum(wanted) for w in wanted], floor) if sum(wanted) > 0 else Fit([], [0.0] * len(wanted))
+    gaps = dict(zip(domains.names, fit.gaps, strict=True))
+    if most_gap is not None and any(abs(g) > most_gap for g in gaps.values()):
+        raise ValueError(f"the targets are missed by {gaps}")
+    return Mix(domains, fit.history, floor, table, gaps)
 
 
 def mixed_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
