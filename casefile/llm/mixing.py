@@ -122,20 +122,20 @@ def fit_steps(table: DataFrame, weights: list[float], floor: float = 0.0, steps:
     """Projected gradient steps until all token totals are within `tolerance` of their targets or no step gets nearer.
 
     `table` has `tokens` and `shares`; `weights` add up to 1. A step turns rate r of a document with
-    shares p into max(floor, r - p . g), so its whole history is a list of vectors g. The gradient of
-    the squared distance is p . (totals - targets); it is scaled by the inverse of the sums of
-    tokens x p p' over documents above the floor, which one pass gives along with the totals, so that domains
-    whose shares overlap take no more steps than separate ones. A step that does not get
+    shares p into max(floor, r - p . g), so its whole history is a list of vectors. The gradient of
+    the squared distance is p . (totals - targets), which holds back documents at the floor; it is scaled by the inverse of the sums of
+    tokens x p p' over the documents that can move (above the floor, or pushed up), which one pass gives along
+    with the totals, so that domains whose shares overlap take no more steps than separate ones. A step that does not get
     nearer is halved. With floor 0 the targets are `weights` of the corpus as it is. With a higher one they are
-    those of a total in which the most over-represented domain keeps all it has, `most_total` times the corpus at
-    most; what is then missing is in the gaps.
+    `weights` of whatever total the rates give, up to `most_total` times the corpus. What is missed is in the gaps.
     """
     width = len(weights)
     pairs = [(d, e) for d in range(width) for e in range(d, width)]
 
-    def measure(history: list[list[float]]) -> tuple[np.ndarray, np.ndarray, float]:
+    def measure(history: list[list[float]], off: list[float] | None = None) -> tuple[np.ndarray, np.ndarray, float]:
         rated = table.select("tokens", "shares", rate_of(F.col("shares"), history, floor).alias("r"))
-        free = F.when(F.col("r") > floor, F.col("tokens")).otherwise(0.0)
+        push = F.lit(-1.0) if off is None else sum((F.col("shares")[d] * o for d, o in enumerate(off)), F.lit(0.0))
+        free = F.when((F.col("r") > floor) | (push < 0), F.col("tokens")).otherwise(0.0)
         sums = [F.sum(F.col("tokens") * F.col("r") * F.col("shares")[d]).alias(f"d{d}") for d in range(width)]
         sums += [F.sum(free * F.col("shares")[d] * F.col("shares")[e]).alias(f"h{d}_{e}") for d, e in pairs]
         row = rated.agg(F.sum("tokens").alias("t"), *sums).first()
@@ -149,33 +149,54 @@ def fit_steps(table: DataFrame, weights: list[float], floor: float = 0.0, steps:
     now, metric, tokens = measure([])
     if not tokens:
         return Fit([], [0.0] * width)
-    total = min(most_total, max(n / w for n, w in zip(now, weights, strict=True) if w > 0)) if floor > 0 else 1.0
-    target = np.array(weights) * total
+    wanted = np.array(weights)
+
+    def gap(totals: np.ndarray) -> np.ndarray:
+        return totals - wanted * (totals.sum() if floor > 0 else 1.0)
+
+    def seen_from_target(metric: np.ndarray) -> np.ndarray:
+        # a document adds p - w to the gaps if the total follows it, and p if not; the shares p add up to 1
+        if floor == 0:
+            return metric
+        one = metric.sum(axis=1)
+        return metric - np.outer(one, wanted) - np.outer(wanted, one) + one.sum() * np.outer(wanted, wanted)
+
+    def on_shares(vector: np.ndarray) -> list[float]:
+        return (vector - wanted @ vector if floor > 0 else vector).tolist()
+
     history: list[list[float]] = []
     size = 1.0
     for _ in range(steps):
-        off = now - target
+        off = gap(now)
         if np.abs(off).max() < tolerance or size < 1e-3:
             break
-        move = size * (np.linalg.pinv(metric, rcond=1e-9, hermitian=True) @ off)
-        tried, tried_metric, _ = measure([*history, move.tolist()])
-        if np.square(tried - target).sum() < np.square(off).sum():
-            history.append(move.tolist())
+        move = size * (np.linalg.pinv(seen_from_target(metric), rcond=1e-9, hermitian=True) @ off)
+        step = [*on_shares(move), *on_shares(off)]
+        tried, tried_metric, _ = measure([*history, step], on_shares(off))
+        if np.square(gap(tried)).sum() < np.square(off).sum() and (floor == 0 or tried.sum() <= most_total):
+            history.append(step)
             now, metric, size = tried, tried_metric, min(1.0, 2 * size)
         else:
             size /= 4
-    return Fit(history, (now - target).tolist())
+    return Fit(history, (gap(now) / (now.sum() if floor > 0 else 1.0)).tolist())
 
 
 def rate_of(shares: Column, history: list[list[float]], floor: float = 0.0) -> Column:
-    """Rate of a document after all steps, beginning with 1 and never below `floor`."""
+    """Rate of a document after all steps, beginning with 1 and never below `floor`.
+
+    A step holds the move and the gradient, side by side; a document at the floor that the gradient pushes
+    down stays there, whatever the scaled move is.
+    """
     if not history:
         return F.lit(1.0)
-    steps = F.array(*[F.array(*map(F.lit, g)) for g in history])
+    width = len(history[0]) // 2
+    steps = F.array(*[F.struct(F.array(*map(F.lit, h[:width])).alias("move"), F.array(*map(F.lit, h[width:])).alias("push")) for h in history])
+
+    def dot(x: Column) -> Column:
+        return F.aggregate(F.zip_with(shares, x, lambda p, v: p * v), F.lit(0.0), lambda a, v: a + v)
 
-    def step(rate: Column, g: Column) -> Column:
-        move = F.aggregate(F.zip_with(shares, g, lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(F.lit(float(floor)), rate - move)
+    def step(rate: Column, h: Column) -> Column:
+        return F.when((rate <= floor) & (dot(h["push"]) >= 0), rate).otherwise(F.greatest(F.lit(float(floor)), rate - dot(h["move"])))
 
     return F.aggregate(steps, F.lit(1.0), step)
 

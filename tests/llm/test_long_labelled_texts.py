@@ -45,19 +45,41 @@ def test_overlapping_domains_meet_their_targets(spark, lean):
     assert row[0] >= 0 and abs(row[1] - 0.5) < 1e-5 and max(map(abs, fit.gaps)) < 1e-5
 
 
-def test_targets_out_of_reach_are_told(spark):
-    """Totals as near as they can get, as least squares in numpy have them, and the gaps that are left."""
-    shares = np.array([[0.7, 0.3], [0.6, 0.4]])
-    table = spark.createDataFrame([(float(1 + i % 5), shares[i % 2].tolist()) for i in range(200)], "tokens double, shares array<double>").cache()
-    fit = mixing.fit_steps(table, [0.1, 0.9], floor=1.0)
-    rates = [r["r"] for r in table.select(mixing.rate_of(F.col("shares"), fit.history, 1.0).alias("r")).collect()]
-    assert min(rates) >= 1.0 and fit.gaps[1] < -0.1
+def test_mixes_without_losses(spark):
+    """No rate below 1: targets are shares of the grown corpus; what cannot be reached is told."""
+    table = spark.range(400).select((F.col("id") % 5 + 1).cast("double").alias("tokens"), F.when(F.col("id") % 2 == 0, F.array(F.lit(0.9), F.lit(0.1))).otherwise(F.array(F.lit(0.2), F.lit(0.8))).alias("shares")).cache()
+    for weights in ([0.4, 0.6], [0.8, 0.2], [0.55, 0.45]):
+        fit = mixing.fit_steps(table, weights, floor=1.0)
+        rated = table.withColumn("r", mixing.rate_of(F.col("shares"), fit.history, 1.0)).withColumn("t", F.col("tokens") * F.col("r"))
+        least, share = rated.agg(F.min("r"), F.sum(F.col("t") * F.col("shares")[0]) / F.sum("t")).first()
+        assert least >= 1.0 and abs(share - weights[0]) < 1e-5 and max(map(abs, fit.gaps)) < 1e-5 and len(fit.history) < 12
+        # the smallest growth: one kind of rows stays as it is
+        assert rated.filter("r = 1.0").count() >= 200
+    far = mixing.fit_steps(table, [0.1, 0.9], floor=1.0)
+    assert far.gaps[0] > 0.05 and abs(sum(far.gaps)) < 1e-9
+    grown = table.agg(F.sum(F.col("tokens") * mixing.rate_of(F.col("shares"), far.history, 1.0)) / F.sum("tokens")).first()[0]
+    assert grown <= mixing.MOST_TOTAL
     only = mixing.fit_steps(spark.createDataFrame([(3.0, [1.0])], "tokens double, shares array<double>"), [1.0])
     assert only.history == [] and abs(only.gaps[0]) < 1e-9
     none = mixing.fit_steps(table.limit(0), [0.5, 0.5])
     assert none.history == [] and none.gaps == [0.0, 0.0]
 
 
+def test_rates_are_those_of_least_squares(spark):
+    """With more domains than targets can hold apart, the totals are as near as projected gradient in numpy brings them."""
+    rng = np.random.default_rng(3)
+    shares, tokens = rng.dirichlet([2, 2, 2], 300), rng.integers(1, 9, 300).astype(float)
+    table = spark.createDataFrame([(t, s.tolist()) for t, s in zip(tokens.tolist(), shares)], "tokens double, shares array<double>").cache()
+    weights = np.array([0.75, 0.2, 0.05])
+    fit = mixing.fit_steps(table, weights.tolist())
+    share = tokens / tokens.sum()
+    r = np.ones(300)
+    for _ in range(20_000):
+        r = np.maximum(0, r - 0.5 * shares @ ((share * r) @ shares - weights))
+    want = (share * r) @ shares - weights
+    assert np.square(fit.gaps).sum() <= np.square(want).sum() * 1.02 + 1e-10
+
+
 def test_template_of_a_text_that_is_cut(monkeypatch):
     text = "He paid Stone 5 miles. Stone went on for 12 km with Anna Berg! It was 3,5 or 4.75 kg. " * 30
     whole = decontaminate.template(text)
