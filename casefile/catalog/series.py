@@ -165,6 +165,16 @@ def t06_events(spark, sf):
     return _metrics(_naive(spark, sf, "events")["metrics"])
 
 
+@query(
+    "t06_skipped",
+    f"""{EVENT_BACKTEST} SELECT event_type, CAST(split AS INTEGER) AS split, 'lstm' AS model,
+      '20 days of history are needed, there are ' || CAST(start AS VARCHAR) AS reason FROM splits WHERE start < 20""",
+)
+def t06_skipped(spark, sf):
+    """Series and splits whose history is shorter than the windows of one of two models."""
+    return forecasting.backtest(event_series(spark, sf), ["event_type"], 5, 12, 3, ("naive_last", "lstm"), lookback=20)["skipped"]
+
+
 @query("t06_all_models")
 def t06_all(spark, sf):
     return run_timeseries(spark, table(spark, sf, "orders"), keys=["o_orderstatus"], date_col="o_orderdate", as_of="2030-01-01")["metrics_avg"]

@@ -129,29 +129,38 @@ def seasonal_arima(train: DataFrame, by: Sequence[str], horizon: int) -> DataFra
     )
     state = tail.select(*groups, *[F.col(f"tail.{f}").alias(f) for f in ("y", "w", "e")]).join(beta, list(by))
 
-    @F.pandas_udf("array<double>")
-    def ahead(y: pd.Series, w: pd.Series, e: pd.Series, beta: pd.Series) -> pd.Series:
-        return pd.Series([_arima_path(*row, horizon) for row in zip(y, w, e, beta)])
-
-    path = state.select(*groups, F.posexplode(ahead("y", "w", "e", "beta")).alias("_at", "yhat"))
+    path = state.select(*groups, F.posexplode(_stepped(state["y"], state["w"], state["e"], state["beta"], horizon)).alias("_at", "yhat"))
     return path.select(*groups, (F.col("_at") + 1).alias("step"), "yhat")
 
 
-def _arima_path(y, w, e, beta, horizon: int) -> list[float]:
-    """Step through the forecast: future shocks are zero, differences are undone."""
-    s = SEASON_DAYS
-    y, w, e = list(y), list(w), list(e)
-    if len(y) < s + 1:
-        return [y[-1]] * horizon
-    known = len(y)
-    bound = 1e3 * (1.0 + max(abs(v) for v in y))
-    for _ in range(horizon):
-        step = beta[0] + beta[1] * w[-1] + beta[2] * w[-s] + beta[3] * w[-s - 1]
-        step += beta[4] * e[-1] + beta[5] * e[-s] + beta[6] * e[-s - 1]
-        w.append(float(np.clip(step, -bound, bound)))
-        e.append(0.0)
-        y.append(y[-1] + y[-s] - y[-s - 1] + w[-1])
-    return y[known:]
+def _stepped(y: F.Column, w: F.Column, e: F.Column, beta: F.Column, horizon: int) -> F.Column:
+    """The forecast path from the last days of a series: future shocks are zero, differences are undone.
+
+    A column expression over the `SEASON_DAYS` + 1 last values of each; shorter series go on as they ended.
+    """
+    kept = SEASON_DAYS + 1
+
+    def pushed(window: F.Column, value: F.Column) -> F.Column:
+        return F.concat(F.slice(window, 2, kept - 1), F.array(value))
+
+    def ago(window: F.Column, k: int) -> F.Column:
+        return F.get(window, kept - k)
+
+    bound = 1e3 * (1.0 + F.array_max(F.transform(y, F.abs)))
+    start = F.struct(y.alias("y"), w.alias("w"), e.alias("e"), F.array().cast("array<double>").alias("path"))
+
+    def step(state: F.Column, _: F.Column) -> F.Column:
+        lags = [ago(state[n], k) for n in ("w", "e") for k in (1, SEASON_DAYS, kept)]
+        move = _dot(F.array(F.lit(1.0), *lags), beta)
+        move = F.greatest(F.least(move, bound), -bound)
+        value = ago(state["y"], 1) + ago(state["y"], SEASON_DAYS) - ago(state["y"], kept) + move
+        return F.struct(
+            pushed(state["y"], value).alias("y"), pushed(state["w"], move).alias("w"), pushed(state["e"], F.lit(0.0)).alias("e"),
+            F.concat(state["path"], F.array(value)).alias("path"),
+        )
+
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step)["path"]
+    return F.when(F.size(y) == kept, path).otherwise(F.array_repeat(F.element_at(y, -1), horizon))
 
 
 def lag_regression(train: DataFrame, by: Sequence[str], horizon: int, lookback: int = 60, estimator=None) -> DataFrame:
@@ -163,7 +172,7 @@ def lag_regression(train: DataFrame, by: Sequence[str], horizon: int, lookback:
     on (window, step) and predicts every step directly.
     """
     scaled = scale_series(train, by)
-    windows = lookback_windows(scaled, by, lookback, "z")
+    windows = durable(lookback_windows(scaled, by, lookback, "z"))  # read once for each split
     recent = scaled.filter(F.col("pos") >= F.col("start") - lookback)
     newest = recent.groupBy(*[col(b) for b in by]).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "z"))), lambda r: r["z"]).alias("lags"),
@@ -234,7 +243,9 @@ def backtest(
     """Rolling-origin evaluation of every model on every series and split.
 
     Returns `metrics` (per key, split and model), `metrics_avg` (per key and model),
-    and of each series' last split `forecasts` and the actuals `y_test`.
+    of each series' last split `forecasts` and the actuals `y_test`, and `skipped`: a row with the
+    reason for every series and split that a model gave no forecast for. A model that fails is
+    left out with its error for all of them.
     """
     series = durable(with_position(series, keys))
     points = durable(rolling_splits(series, keys, horizon, eval_days, splits))
@@ -252,10 +263,14 @@ def backtest(
         *[col(b) for b in by], "n_splits", "ds", (F.col("pos") - F.col("start") + 1).alias("step"), "y"
     )
     known = forecasters(lookback)
-    predicted = None
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in train.select(*[col(b) for b in by]).schema.fields)
+    predicted = series.sparkSession.createDataFrame([], f"{fields}, step int, yhat double, model string")
+    errors = {}
     for name in models:
-        part = known[name](train, by, horizon).withColumn("model", F.lit(name))
-        predicted = part if predicted is None else predicted.unionByName(part)
+        try:
+            predicted = predicted.unionByName(durable(known[name](train, by, horizon).withColumn("model", F.lit(name))))
+        except Exception as error:  # noqa: BLE001 - a failed model is a reason in the result
+            errors[name] = str(error).splitlines()[0]
     scored = durable(test.join(predicted, [*by, "step"]))
     metrics = forecast_errors(scored, [*by, "model"])
     newest = scored.filter(F.col("split") == F.col("n_splits"))
@@ -264,9 +279,21 @@ def backtest(
         "metrics_avg": average_errors(metrics, [*keys, "model"]),
         "forecasts": newest.select(*[col(k) for k in keys], "model", "ds", "yhat"),
         "y_test": test.filter(F.col("split") == F.col("n_splits")).select(*[col(k) for k in keys], "ds", "y"),
+        "skipped": _skipped(points, predicted, by, models, errors, lookback),
     }
 
 
+def _skipped(points: DataFrame, predicted: DataFrame, by: Sequence[str], models: Sequence[str], errors: dict[str, str], lookback: int) -> DataFrame:
+    wanted = points.select(*[col(b) for b in by], "start", F.explode(F.array(*[F.lit(m) for m in models])).alias("model"))
+    missing_ones = wanted.join(predicted.select(*[col(b) for b in by], "model").distinct(), [*by, "model"], "left_anti")
+    reason = F.when(
+        (F.col("model") == "lstm") & (F.col("start") < lookback), F.concat(F.lit(f"{lookback} days of history are needed, there are "), F.col("start").cast("string"))
+    ).otherwise("no forecast")
+    for name, error in errors.items():
+        reason = F.when(F.col("model") == name, F.lit(error)).otherwise(reason)
+    return missing_ones.select(*[col(b) for b in by], "model", reason.alias("reason"))
+
+
 def overlay(result: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
     """Actuals of the last split next to the forecast of every model."""
     return result["y_test"].join(result["forecasts"], [*keys, "ds"]).select(*[col(k) for k in keys], "ds", "model", "y", "yhat")

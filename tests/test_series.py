@@ -84,3 +84,38 @@ def test_run_timeseries_with_and_without_date_column(spark):
         assert result["summary"].first()["n"] == 200
     back = spark.read.option("header", True).csv(f"{out}/rolling_metrics")
     assert set(back.columns) == {"split", "model", "MAE", "RMSE", "MAPE%"} and back.count() == 6
+
+
+def test_failed_and_skipped_models_are_rows(spark, monkeypatch):
+    from casefile.operators import forecasting
+
+    known = forecasting.forecasters
+
+    def broken(train, by, horizon):
+        raise RuntimeError("out of order\nmore")
+
+    monkeypatch.setattr(forecasting, "forecasters", lambda lookback: {**known(lookback), "broken": broken})
+    days = [(k, i, float(i % 7)) for k, n in (("a", 130), ("b", 300)) for i in range(n)]
+    df = spark.createDataFrame(days, "key string, i int, y double").selectExpr("key", "date_add(DATE'2021-01-01', i) AS ds", "y")
+    found = forecasting.backtest(df, ["key"], models=["naive_last", "broken", "lstm"], lookback=60)
+    rows = {(r["key"], r["split"], r["model"]): r["reason"] for r in found["skipped"].collect()}
+    assert {k for k in rows if k[2] == "lstm"} == {("a", 1, "lstm")} and rows["a", 1, "lstm"].endswith("there are 40")
+    assert len([k for k in rows if k[2] == "broken"]) == 6 and rows["b", 3, "broken"] == "out of order"
+    assert found["metrics"].filter("model = 'lstm'").count() == 5
+
+
+def test_stepwise_forecast_equals_plain_loop(spark):
+    from casefile.operators import forecasting
+
+    rng = np.random.default_rng(2)
+    y, w, e, beta = (rng.normal(size=n) for n in (8, 8, 8, 7))
+    df = spark.createDataFrame([(y.tolist(), w.tolist(), e.tolist(), beta.tolist()), ([1.0, 4.0], [0.0, 0.0], [0.0, 0.0], beta.tolist())], "y array<double>, w array<double>, e array<double>, beta array<double>")
+    got = [r[0] for r in df.select(forecasting._stepped(F.col("y"), F.col("w"), F.col("e"), F.col("beta"), 12)).collect()]
+    ys, ws, es = list(y), list(w), list(e)
+    bound = 1e3 * (1 + max(map(abs, ys)))
+    for _ in range(12):
+        step = beta @ [1, ws[-1], ws[-7], ws[-8], es[-1], es[-7], es[-8]]
+        ws.append(float(np.clip(step, -bound, bound)))
+        es.append(0.0)
+        ys.append(ys[-1] + ys[-7] - ys[-8] + ws[-1])
+    assert np.allclose(got[0], ys[8:]) and got[1] == [4.0] * 12
