@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from casefile.catalog.profile import _daily_sql
@@ -150,6 +152,34 @@ def t04(spark, sf):
     return forecasting.additive(_train(spark, sf), ["o_orderstatus", "split"], 30)
 
 
+_WAVES = ", ".join(
+    f"{wave}(date_diff('day', DATE '1970-01-01', ds::DATE) * {2 * math.pi * order / period!r})"
+    for period, top in forecasting.SEASONS for order in range(1, top + 1) for wave in ("sin", "cos")
+)
+
+
+@query(
+    "t04_normal_equations",
+    f"""
+    {ORDER_BACKTEST},
+    design AS (SELECT p.o_orderstatus, s.split, p.y, [1.0::DOUBLE, p.pos::DOUBLE / s.start, {_WAVES}] AS x
+               FROM placed p JOIN splits s ON p.o_orderstatus = s.o_orderstatus AND p.pos < s.start),
+    terms AS (SELECT o_orderstatus, split, y, unnest(x) AS v, generate_subscripts(x, 1) - 1 AS j FROM design)
+    SELECT o_orderstatus, CAST(split AS INTEGER) AS split, CAST(j AS INTEGER) AS j, round(sum(v * y), 3) + 0.0 AS side FROM terms GROUP BY ALL
+    """,
+)
+def t04_equations(spark, sf):
+    """What the fitted coefficients give for each term of the design, shrinkage included, must be what the series itself gives."""
+    by = ["o_orderstatus", "split"]
+    rows = durable(forecasting.additive_rows(_train(spark, sf), by))
+    fitted = rows.join(forecasting.least_squares(rows, by), by)
+    fitted = fitted.withColumn("fit", F.aggregate(F.zip_with("x", "beta", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
+    terms = fitted.select(*by, "fit", "beta", F.posexplode("x").alias("j", "v"))
+    sides = terms.groupBy(*by, "j").agg(F.sum(F.col("v") * F.col("fit")).alias("side"), F.count(F.lit(1)).alias("n"), F.first(F.get("beta", F.col("j"))).alias("b"))
+    shrunk = F.when(F.col("j") > 0, F.col("side") + forecasting.RIDGE * F.col("n") * F.col("b")).otherwise(F.col("side"))
+    return sides.select(*by, "j", (F.round(shrunk, 3) + 0.0).alias("side"))
+
+
 @query("t05_lag_regression")
 def t05(spark, sf):
     return forecasting.lag_regression(_train(spark, sf), ["o_orderstatus", "split"], 30)

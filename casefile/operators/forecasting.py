@@ -66,28 +66,30 @@ def least_squares(rows: DataFrame, by: Sequence[str], ridge: float = RIDGE) -> D
     return rows.select(*[col(b) for b in by], "x", "target").groupBy(*[col(b) for b in by]).applyInPandas(solve, schema)
 
 
+def additive_design(t: F.Column, day: F.Column, length: F.Column) -> F.Column:
+    """Intercept, trend over the length of the history, and the waves of all seasons at a day."""
+    number = F.date_diff(day, F.lit("1970-01-01").cast("date")).cast("double")
+    waves = [
+        wave(number * (2 * math.pi * order / period))
+        for period, top in SEASONS
+        for order in range(1, top + 1)
+        for wave in (F.sin, F.cos)
+    ]
+    return F.array(F.lit(1.0), t / length, *waves)
+
+
+def additive_rows(train: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by..., x, target): one row of the additive model's design for each day."""
+    x = additive_design(F.col("pos").cast("double"), F.col("ds"), F.col("start").cast("double"))
+    return train.select(*[col(b) for b in by], x.alias("x"), F.col("y").alias("target"))
+
+
 def additive(train: DataFrame, by: Sequence[str], horizon: int) -> DataFrame:
     """Linear trend plus weekly and yearly Fourier terms, fitted by ridge regression."""
-
-    def design(t: F.Column, day: F.Column, length: F.Column) -> F.Column:
-        number = F.date_diff(day, F.lit("1970-01-01").cast("date")).cast("double")
-        waves = [
-            wave(number * (2 * math.pi * order / period))
-            for period, top in SEASONS
-            for order in range(1, top + 1)
-            for wave in (F.sin, F.cos)
-        ]
-        return F.array(F.lit(1.0), t / length, *waves)
-
-    rows = train.select(
-        *[col(b) for b in by],
-        design(F.col("pos").cast("double"), F.col("ds"), F.col("start").cast("double")).alias("x"),
-        F.col("y").alias("target"),
-    )
-    beta = least_squares(rows, by)
+    beta = least_squares(additive_rows(train, by), by)
     ends = train.groupBy(*[col(b) for b in by]).agg(F.max("ds").alias("_last"), F.max("start").alias("start"))
     future = ends.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    x = design(
+    x = additive_design(
         (F.col("start") + F.col("step") - 1).cast("double"), F.date_add("_last", F.col("step")), F.col("start").cast("double")
     )
     return future.join(beta, list(by)).select(*[col(b) for b in by], "step", _dot(x, F.col("beta")).alias("yhat"))
