@@ -8,6 +8,7 @@ for each domain and pair of domains. All of it is DataFrame expressions.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -85,18 +86,20 @@ def _hits(words: Column, markers: list[str]) -> Column:
 def measured(text: Column, domains: Domains) -> Column:
     """(tokens, shares) of a whole text: its number of words, and its share in each domain.
 
-    Every distinct marker word in the text counts once and is split among the domains; a text with
-    none, also null and empty ones, has the shares of the labelled rows. Shares add up to 1.
+    The shares are the posteriors of naive Bayes: those of the labelled rows times, for every distinct marker
+    word in the text, how much it speaks for each domain. A text with no marker, also a null or empty
+    one, has the shares of the labelled rows. Shares add up to 1.
     """
-    shares = F.array(*[F.array(*map(F.lit, map(float, row))) for row in domains.shares])
     prior = F.array(*map(F.lit, map(float, domains.prior))).cast("array<double>")
-    zero = F.array(*[F.lit(0.0) for _ in domains.names]).cast("array<double>")
     every = sorted({w for words in domains.markers for w in words})
 
     def spread(count: Column) -> Column:
-        total = F.aggregate(count, F.lit(0.0), lambda a, x: a + x)
-        summed = F.aggregate(F.arrays_zip(count.alias("c"), shares.alias("s")), zero, lambda a, e: F.zip_with(a, e["s"], lambda x, y: x + e["c"] * y))
-        return F.when(total > 0, F.transform(summed, lambda x: x / total)).otherwise(prior)
+        # products of many small numbers, so logarithms, measured from the largest
+        logs = F.array(*[F.array(*[F.lit(math.log(v)) for v in row]) for row in domains.shares])
+        start = F.array(*[F.lit(math.log(v)) for v in domains.prior])
+        summed = F.aggregate(F.arrays_zip(count.alias("c"), logs.alias("s")), start, lambda a, e: F.zip_with(a, e["s"], lambda x, y: x + e["c"] * y))
+        likely = F.transform(F.array(summed), lambda x: F.transform(x, lambda v: F.exp(v - F.array_max(x))))
+        return F.get(F.transform(likely, lambda x: F.transform(x, lambda v: v / F.aggregate(x, F.lit(0.0), lambda a, y: a + y))), F.lit(0))
 
     def look(words: Column) -> Column:
         tokens = F.size(words) - F.when(F.get(words, F.lit(0)) == "", 1).otherwise(0) - F.when((F.size(words) > 1) & (F.element_at(words, -1) == ""), 1).otherwise(0)
