@@ -77,6 +77,40 @@ def test_dbscan_by_ever_smaller_boxes(spark, monkeypatch):
     assert (labels(clustering.dbscan(frame_of(spark, x), "id", "vec", 0.7, 4)) == brute_dbscan(x, 0.7, 4)).all()
 
 
+def test_dbscan_in_many_dimensions_lists_no_pairs(spark, monkeypatch):
+    """Counts, links and borders come from blocks; no list of boxes or spots within reach is made."""
+
+    def listed(*args):
+        raise AssertionError("pairs were listed")
+
+    monkeypatch.setattr(clustering, "_tree_pairs", listed)
+    for block_rows, dims, eps in ((32, 16, 1.2), (65_536, 24, 1.6)):
+        monkeypatch.setattr(pairs.block_pairs, "__defaults__", (block_rows,))
+        x = clumps(dims, dims)
+        x[200:210] = x[0] + 0.2 * np.arange(10)[:, None] / np.sqrt(dims)
+        want = brute_dbscan(x, eps, 6)
+        assert len(set(want)) > 2
+        assert (labels(clustering.dbscan(frame_of(spark, x), "id", "vec", eps, 6)) == want).all()
+    # distances of exactly eps count, as they do when measured one by one
+    line = np.zeros((40, 16))
+    line[:, 3] = 0.5 * np.arange(40)
+    assert set(labels(clustering.dbscan(frame_of(spark, line), "id", "vec", 0.5, 3))) == {0}
+
+
+def test_blocks_give_all_cores_work_and_move_few_copies(spark):
+    """A row is copied to as many pairs of blocks as the cores need, not to one for every 2,048 points."""
+    rows = spark.range(60_000).select("id", F.array(F.col("id").cast("double")).alias("x"))
+    met = pairs.block_pairs(rows, "id").applyInPandas(lambda a, b: pd.DataFrame({"n": [len(a) + len(b)]}), "n long").toPandas()["n"]
+    cores = spark.sparkContext.defaultParallelism
+    assert len(met) >= 2 * cores and met.sum() <= 60_000 * 2 * np.ceil(np.sqrt(4 * cores))
+
+
+def test_nearest_of_many_copies_are_those_with_the_smallest_ids(spark):
+    x = np.vstack([np.zeros((60, 3)), np.ones((5, 3))])
+    got = embedding.knn_graph(frame_of(spark, x), "id", k=4).toPandas().groupby("src")["dst"].apply(sorted)
+    assert got[30] == [0, 1, 2, 3] and got[1] == [0, 2, 3, 4] and got[64] == [60, 61, 62, 63]
+
+
 def test_dbscan_edges(spark):
     same = np.zeros((12, 2))
     assert set(labels(clustering.dbscan(frame_of(spark, same), "id", "vec", 0.1, 10))) == {0}
