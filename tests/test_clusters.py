@@ -297,3 +297,40 @@ def test_interpretation_index(spark):
     found = run_unsupervised(spark, df, "id", out, max_samples=100, interpret=True, top_n=2, **{**FAST, "embeddings": ("SVD2",)})
     assert found["index"].count() == 2
     assert set(spark.read.json(f"{out}/cluster_interpretations_index").columns) == {"combo", "silhouette"}
+
+
+def test_a_curve_in_stretches_finds_what_the_whole_curve_finds(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = np.vstack([rng.normal(size=(290, 5)), np.zeros((10, 5))])
+    points = spark.createDataFrame(pd.DataFrame({"id": np.arange(300), "x": x.tolist()}))
+    basis = np.linalg.qr(rng.normal(size=(5, 5)))[0][:, :3]
+    found = []
+    for rows in (1, 4096):
+        monkeypatch.setattr(embedding, "STRETCH_ROWS", rows)
+        found.append(embedding._curve_neighbours(points, basis, 4, 1).orderBy("src", "dst").toPandas())
+    assert found[0].equals(found[1]) and len(found[0]) == 300 * 4
+
+
+def test_curves_find_the_neighbours_of_clumps(spark):
+    x = clumps(12, 6, 400)[140:]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    near = embedding.knn_graph(frame_of(spark, x), "id", k=5, method="curves").toPandas()
+    got = np.stack(near.groupby("src")["dist"].apply(sorted).sort_index().to_numpy())
+    assert (np.abs(got - np.sort(d, axis=1)[:, :5]) < 1e-9).mean() > 0.99
+
+
+def test_batches_of_vectors_are_multiplied_in_strips():
+    """No strip has more entries times columns than a task should hold at once."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    dense, sparse = rng.normal(size=(3000, 64)), [([5, 900], [1.0, 2.0])] * 1000
+    rows = [{"type": 1, "size": None, "indices": None, "values": v} for v in dense.tolist()]
+    rows += [{"type": 0, "size": 1000, "indices": i, "values": v} for i, v in sparse]
+    kind = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    some = list(embedding._strips(pa.array(rows, kind), 64))
+    entries = [embedding._entries(s) for s in some]
+    assert len(some) > 1 and sum(len(s) for s in some) == 4000
+    assert max(len(x) * 64 for _, _, x in entries) <= 2 * pairs.STRIP_NUMBERS
+    assert np.array_equal(np.concatenate([x for _, _, x in entries]), np.concatenate([dense.ravel(), [1.0, 2.0] * 1000]))

@@ -215,3 +215,42 @@ def test_estimators_have_their_defaults():
     from casefile.operators.models import KernelSVM, SizedPerceptron
 
     assert KernelSVM().getOrDefault("seed") == 42 and SizedPerceptron().getOrDefault("maxIter") == 500
+
+
+def test_kernel_machine_keeps_no_wide_rows(spark):
+    """Margins come straight from the narrow rows; the hinge loss is as low as MLlib's on the features themselves."""
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.linalg import Vectors
+
+    from casefile.operators.models import FourierMargin, KernelSVM
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 2))
+    label = ((x**2).sum(axis=1) < 1.2).astype(float)
+    rows = [(Vectors.dense(v), float(c), 1.0 + float(c)) for v, c in zip(x, label, strict=True)]
+    df = spark.createDataFrame(rows, ["features", "label", "weight"])
+    machine = KernelSVM(C=1.0, nRows=float(400 + label.sum()), nFeatures=64).fit(df)
+    margin = machine.stages[0]
+    assert isinstance(margin, FourierMargin) and "_kernel" not in machine.transform(df).columns
+    z = np.concatenate([np.array(z, dtype=float) for _, z in margin.kernel.strips(x)])
+
+    def loss(w, b):
+        short = np.maximum(0, 1 - (2 * label - 1) * (z @ w + b))
+        return ((1 + label) * short).sum() / (1 + label).sum() + w @ w / 2 / (400 + label.sum())
+
+    wide = spark.createDataFrame([(Vectors.dense(v), float(c), 1.0 + float(c)) for v, c in zip(z, label, strict=True)], ["features", "label", "weight"])
+    whole = LinearSVC(weightCol="weight", maxIter=100, tol=1e-4, regParam=float(1 / (400 + label.sum())), standardization=False).fit(wide)
+    assert loss(margin.weights[:-1, 0], margin.weights[-1, 0]) <= 1.05 * loss(whole.coefficients.toArray(), whole.intercept)
+    three = spark.createDataFrame([(Vectors.dense(v), float(np.digitize((v**2).sum(), [0.7, 2.5])), 1.0) for v in x], ["features", "label", "weight"])
+    hit = KernelSVM(C=10.0, nClasses=3, nRows=400.0).fit(three).transform(three).filter("prediction = label").count()
+    assert hit > 360
+
+
+def test_tasks_of_a_fit_hold_a_bounded_number_of_rows(spark):
+    from casefile.session import spread, stored
+
+    table = spread(stored(spark.range(250_000).coalesce(1)), 20_000)
+    held = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(held) >= 13 and max(held) <= 20_100
+    few = stored(spark.range(500).coalesce(1))
+    assert spread(few, 100) is few
