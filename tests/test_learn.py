@@ -254,3 +254,64 @@ def test_tasks_of_a_fit_hold_a_bounded_number_of_rows(spark):
     assert len(held) >= 13 and max(held) <= 20_100
     few = stored(spark.range(500).coalesce(1))
     assert spread(few, 100) is few
+
+
+def test_regressions_of_all_folds_share_their_scans(spark, table, monkeypatch):
+    """Scores are those of fits made one by one, with numbers and categories missing, ties, and classes out of balance."""
+    from casefile.operators import logistic, training
+    from casefile.operators.models import ModelSpec
+
+    coded, _ = features.encode_target(table.withColumn("a", F.round("a", 1)), "y")
+    spec = get_model_and_param_space("logreg", 2)
+    rows = durable(with_class_weight(coded.withColumn("fold", F.col("id") % 2), spec))
+    preprocessor = features.build_preprocessor(rows, ["id", "y", "label", "weight", "fold"])
+    points = [{"C": 0.001}, {"C": 1.0}]
+
+    def scores(scoring):
+        return training.cross_validate(rows, preprocessor, spec, points, scoring, 2, 4)
+
+    def curve():
+        return explain.learning_curve(rows.drop("fold"), preprocessor, spec, {"C": 1.0}, sizes=(0.5,), folds=2, key="id").collect()
+
+    with monkeypatch.context() as alone:
+        alone.setattr(training, "shared_rows", lambda *_: None)
+        alone.setattr(explain, "shared_rows", lambda *_: None)
+        wanted = {s: scores(s) for s in ("roc_auc", "f1_macro")}
+        wanted_curve = curve()
+    monkeypatch.setattr(logistic, "RANGE_ROWS", 20)
+    monkeypatch.setattr(ModelSpec, "build", lambda *_: pytest.fail("fitted one by one"))
+    for scoring, value in wanted.items():
+        assert np.allclose(scores(scoring), value, atol=1e-4 if scoring == "roc_auc" else 1e-9), scoring
+    assert np.allclose(np.array(curve(), dtype=float), np.array(wanted_curve, dtype=float), atol=1e-9)
+
+
+def test_shared_regressions_reach_the_minimum(spark):
+    from casefile.operators.logistic import Fit, shared_rows
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 2)) * [1.0, 1000.0] + [0.0, 1e6]
+    y = (x[:, 0] + (x[:, 1] - 1e6) / 1000 + rng.normal(0, 1, 300) > 0).astype(float)
+    df = spark.createDataFrame([(*map(float, v), float(c), 1.0 + float(c), i % 2) for i, (v, c) in enumerate(zip(x, y, strict=True))], "a double, b double, label double, weight double, fold int")
+    preprocessor = features.build_preprocessor(df, ["label", "weight", "fold"])
+    spec = get_model_and_param_space("logreg", 2)
+    with shared_rows(df, preprocessor, spec, F.col("fold"), 2, "accuracy") as rows:
+        fits = [Fit(np.array([True, True]), 0.1), Fit(np.array([False, True]), 0.1), Fit(np.array([False, False]), 1.0)]
+        rows.fit(fits[:2])
+        coding = rows._coding(fits[0].cells, [])
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    w = 1 + y
+    raw = (x - rows.layout.centre) / rows.layout.scale
+    margin = np.column_stack([np.ones(300), raw]) @ fits[0].weights
+    theta = np.linalg.lstsq(np.column_stack([z, np.ones(300)]), margin, rcond=None)[0]
+    slope = np.column_stack([z, np.ones(300)]).T @ (w * (1 / (1 + np.exp(-margin)) - y)) + np.append(theta[:2] / 0.1, 0)
+    assert np.abs(slope).max() < 1e-6 and coding.shape == (3, 3)
+    assert not np.allclose(fits[0].weights, fits[1].weights)
+
+
+def test_wide_tables_are_fitted_one_by_one(spark):
+    from casefile.operators.logistic import shared_rows
+
+    df = spark.range(300).select(F.col("id").cast("string").alias("name"), (F.col("id") % 2).cast("double").alias("label"), F.lit(1.0).alias("weight"), (F.col("id") % 3).cast("int").alias("fold"))
+    preprocessor = features.build_preprocessor(df, ["label", "weight", "fold"])
+    assert shared_rows(df, preprocessor, get_model_and_param_space("logreg", 2), F.col("fold"), 3, "roc_auc") is None
+    assert shared_rows(df, preprocessor, get_model_and_param_space("rf", 2), F.col("fold"), 3, "roc_auc") is None
