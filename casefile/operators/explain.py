@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from casefile.functions.values import col
 from casefile.operators.features import Preprocessor, feature_names
+from casefile.operators.logistic import Fit, shared_rows
 from casefile.operators.models import ModelSpec
 from casefile.operators.ranking import order_hash
 from casefile.operators.sampling import assign_folds
@@ -100,10 +101,25 @@ def learning_curve(
     sizes: Sequence[float] = tuple(np.linspace(0.1, 1.0, 10)), folds: int = 5, key=None, seed: int = 42, parallelism: int = 4,
 ) -> DataFrame:
     """(size, train_mean, train_sd, valid_mean, valid_sd) over growing, nested parts of
-    the training folds. Needs columns label and weight."""
+    the training folds. Needs columns label and weight. Logistic regressions of all folds and sizes share their scans."""
     rows = assign_folds(df, "label", folds, key, seed, "_fold")
     word = F.conv(F.substring(order_hash(df, key, seed + 1), 1, 12), 16, 10).cast("double")
     rows = durable(rows.withColumn("_share", word / float(16**12)))
+    schema = "size double, train double, valid double"
+    # a row is in the parts of the sizes above its share
+    steps = sorted({float(s) for s in sizes})
+    step = sum(((F.col("_share") >= s).cast("int") for s in steps), F.lit(0))
+    shared = shared_rows(rows, preprocessor, spec, F.col("_fold") * (len(steps) + 1) + step, folds * (len(steps) + 1), scoring)
+    if shared is not None:
+        with shared:
+            fold_of, step_of = np.divmod(np.arange(shared.cells), len(steps) + 1)
+            wanted = [(fold, float(size)) for size in sizes for fold in range(folds)]
+            fits = [Fit((fold_of != fold) & (step_of <= steps.index(size)), params.get("C", 1.0)) for fold, size in wanted]
+            shared.fit(fits, parallelism)
+            judged = [(f, part) for f, (fold, _) in zip(fits, wanted, strict=True) for part in (f.cells, fold_of == fold)]
+            found = shared.scores(judged, scoring)
+        scores = [(size, *found[2 * i : 2 * i + 2]) for i, (_, size) in enumerate(wanted)]
+        return _curve(df.sparkSession.createDataFrame(scores, schema))
 
     def one(task: tuple[int, float]) -> tuple[float, float, float]:
         fold, size = task
@@ -119,8 +135,11 @@ def learning_curve(
     tasks = [(fold, float(size)) for size in sizes for fold in range(folds)]
     with ThreadPool(parallelism) as pool:
         scores = pool.map(inheritable_thread_target(df.sparkSession)(one), tasks)
-    table = df.sparkSession.createDataFrame(scores, "size double, train double, valid double")
-    return table.groupBy("size").agg(
+    return _curve(df.sparkSession.createDataFrame(scores, schema))
+
+
+def _curve(scores: DataFrame) -> DataFrame:
+    return scores.groupBy("size").agg(
         F.avg("train").alias("train_mean"), F.stddev_pop("train").alias("train_sd"),
         F.avg("valid").alias("valid_mean"), F.stddev_pop("valid").alias("valid_sd"),
     ).orderBy("size")
