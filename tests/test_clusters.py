@@ -334,3 +334,23 @@ def test_batches_of_vectors_are_multiplied_in_strips():
     assert len(some) > 1 and sum(len(s) for s in some) == 4000
     assert max(len(x) * 64 for _, _, x in entries) <= 2 * pairs.STRIP_NUMBERS
     assert np.array_equal(np.concatenate([x for _, _, x in entries]), np.concatenate([dense.ravel(), [1.0, 2.0] * 1000]))
+
+
+@pytest.mark.parametrize("dims", [1, 2, 3])
+def test_silhouette_in_few_dimensions_adds_distances_up_by_boxes(spark, monkeypatch, dims):
+    rng = np.random.default_rng(dims)
+    # flat, in a far smaller clump, repeated, and far out; a cluster of one point and one of noise
+    x = np.vstack([rng.uniform(size=(1500, dims)), 3 + 1e-7 * rng.normal(size=(1500, dims)), np.ones((300, dims)), 90 * rng.normal(size=(5, dims))])
+    c = np.floor(x[:, 0] * 7).astype(int) % 4 - 1
+    c[7] = 77
+    monkeypatch.setattr(scores, "block_pairs", lambda *_: pytest.fail("all pairs were compared"))
+    df = spark.createDataFrame([(p.tolist(), int(k)) for p, k in zip(x, c)], "vec array<double>, cluster int")
+    d = np.sqrt(np.square(x[:, None] - x[None]).sum(axis=-1))
+    names, sizes = np.unique(c, return_counts=True)
+    sums = np.stack([d[:, c == k].sum(axis=1) for k in names], axis=1)
+    at, row = np.searchsorted(names, c), np.arange(len(x))
+    a, others = sums[row, at] / np.maximum(sizes[at] - 1, 1), sums / sizes
+    others[row, at] = np.inf
+    b = others.min(axis=1)
+    wanted = np.where(sizes[at] > 1, (b - a) / np.maximum(a, b), 0.0).mean()
+    assert scores.silhouette(df) == pytest.approx(wanted, rel=1e-9)
