@@ -44,19 +44,22 @@ def model_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
-def _with_partner(df: DataFrame, key, copies: int, seed: int, n_rows: int, block_rows: int) -> DataFrame:
+def _with_partner(df: DataFrame, key, copies: int, seed: int, n_rows: int, block_rows: int, keep: Sequence[str] | None = None) -> DataFrame:
     """Every row `copies` times (`_copy`), each next to another random row (`_other`).
 
     Rows fall into hash blocks of bounded size; inside a block each row takes the
     next one in hash order, the last one takes the first. Every row is a partner
-    exactly once per copy, so `_other` is a permutation of the table.
+    exactly once per copy, so `_other` is a permutation of the table. Rows hold the columns `keep`
+    only, and the order travels as sixteen bytes, since all copies of all rows are exchanged.
     """
     blocks = max(1, math.ceil(n_rows / block_rows))
-    rows = df.withColumn("_id", order_hash(df, key, seed)).withColumn("_row", F.struct(*[col(c) for c in df.columns]))
+    rows = df.withColumn("_id", order_hash(df, key, seed)).withColumn("_row", F.struct(*[col(c) for c in keep or df.columns]))
     rows = rows.select("_id", "_row", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("_copy"))
     rows = rows.withColumn("_order", F.md5(F.concat_ws(":", "_copy", "_id")))
     rows = rows.withColumn("_block", F.pmod(F.xxhash64("_order"), F.lit(blocks)))
-    block = Window.partitionBy("_copy", "_block").orderBy("_order", "_id")
+    # equal orders have equal ids, so the id need not travel
+    rows = rows.select("_row", "_copy", "_block", F.unhex("_order").alias("_order"))
+    block = Window.partitionBy("_copy", "_block").orderBy("_order")
     whole = block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     other = F.coalesce(F.lead("_row").over(block), F.first("_row").over(whole))
     return rows.withColumn("_other", other).drop("_order", "_block")
@@ -68,22 +71,23 @@ def permutation_importance(
 ) -> DataFrame:
     """(feature, importance, sd): mean drop in accuracy when one column is shuffled.
 
-    All features of all repeats are scored in one job.
+    All features of all repeats are scored in one job; the rows as they are, once.
     """
     needed = df.select(*[col(c) for c in dict.fromkeys([*features, label, *([key] if isinstance(key, str) else [])])])
     n = needed.count()
-    partner = _with_partner(needed, key, repeats, seed, n, block_rows)
-
-    def shuffled(feature: str | None) -> F.Column:
-        values = [(F.col("_other") if c == feature else F.col("_row"))[c].alias(c) for c in needed.columns]
-        return F.struct(F.lit(feature or "").alias("_feature"), F.struct(*values).alias("_v"))
-
-    variants = F.array(shuffled(None), *[shuffled(f) for f in features])
-    rows = partner.select("_copy", F.inline(variants)).select("_copy", "_feature", "_v.*")
-    hit = (F.col("prediction") == col(label)).cast("double")
-    scores = model.transform(rows).groupBy("_copy", "_feature").agg(F.avg(hit).alias("acc"))
-    base = F.max(F.when(F.col("_feature") == "", F.col("acc"))).over(Window.partitionBy("_copy"))
-    drops = scores.withColumn("drop", base - F.col("acc")).filter("_feature <> ''")
+    kept = list(dict.fromkeys([*features, label]))
+    partner = _with_partner(needed, key, repeats, seed, n, block_rows, kept)
+
+    def shuffled(feature: str) -> F.Column:
+        values = [(F.col("_other") if c == feature else F.col("_row"))[c].alias(c) for c in kept]
+        return F.struct(F.lit(feature).alias("_feature"), F.struct(*values).alias("_v"))
+
+    hit = F.avg((F.col("prediction") == col(label)).cast("double"))
+    # every copy holds the same rows, so their own accuracy is the same in all
+    base = model.transform(needed.select(*[col(c) for c in kept])).agg(hit).first()[0]
+    rows = partner.select("_copy", F.inline(F.array(*[shuffled(f) for f in features]))).select("_copy", "_feature", "_v.*")
+    scores = model.transform(rows).groupBy("_copy", "_feature").agg(hit.alias("acc"))
+    drops = scores.withColumn("drop", F.lit(base).cast("double") - F.col("acc"))
     return drops.groupBy(F.col("_feature").alias("feature")).agg(
         F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("sd")
     )
