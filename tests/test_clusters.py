@@ -354,3 +354,52 @@ def test_silhouette_in_few_dimensions_adds_distances_up_by_boxes(spark, monkeypa
     b = others.min(axis=1)
     wanted = np.where(sizes[at] > 1, (b - a) / np.maximum(a, b), 0.0).mean()
     assert scores.silhouette(df) == pytest.approx(wanted, rel=1e-9)
+
+
+def test_circles_of_many_homes_meet_like_those_of_one(spark, monkeypatch):
+    """Vectors travel narrow, once for each home; shuffle files are dropped round by round, and the setting is put back."""
+    from casefile import session
+
+    x = clumps(12, 6, 400)[140:].astype(np.float32).astype(float)
+    used, met = [], embedding._refined
+
+    def seen(points, homes, graph, k):
+        used.append((homes.select("_home").distinct().count(), points.schema["x"].dataType.elementType.typeName(), spark.conf.get(session.DROP_SHUFFLES)))
+        return met(points, homes, graph, k)
+
+    monkeypatch.setattr(embedding, "_refined", seen)
+    before, found = spark.conf.get(session.DROP_SHUFFLES, None), []
+    for numbers in (1, 64 << 20):
+        monkeypatch.setattr(embedding, "MEMBER_NUMBERS", numbers * 6 * 21 * 20)
+        found.append(embedding.knn_graph(frame_of(spark, x), "id", k=5, method="curves").orderBy("src", "dst").toPandas())
+    assert found[0].equals(found[1]) and used[0][0] > used[1][0] and {u[1:] for u in used} == {("float", "true")}
+    assert spark.conf.get(session.DROP_SHUFFLES, None) == before
+
+
+def test_vectors_are_narrowed_only_without_loss(spark):
+    for value, kind in ((0.5, "float"), (0.1, "double")):
+        df = spark.createDataFrame([(1, [value, -0.0]), (2, None)], "id long, x array<double>")
+        got = embedding._narrow(df)
+        assert got.schema["x"].dataType.elementType.typeName() == kind
+        assert got.orderBy("id").first()["x"] == [value, 0.0]
+
+
+def test_met_pairs_are_the_nearest_of_each_member():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    x, ids = rng.normal(size=(12, 3)), np.arange(12).repeat(1)
+    ids[11] = 10  # one id with two vectors
+    links = pa.table({"host": [0] * 6 + [1] * 6, "guest": [0, 1, 2, 3, 4, 5, 1, 0, 6, 8, 9, 10], "fresh": [True] * 11 + [False]})
+    members = pa.table({"id": ids, "edge": np.full(12, 2.0), "x": pa.array(x.tolist(), pa.list_(pa.float64()))})
+    want = {}
+    for circle in ((0, 1, 2, 3, 4, 5), (1, 0, 6, 8, 9, 10, 11)):
+        for a, b in ((a, b) for a in circle for b in circle if ids[a] != ids[b]):
+            dist = np.sqrt(((x[a] - x[b]) ** 2).sum())
+            if dist <= 2.0:
+                key = (int(ids[a]), int(ids[b]))
+                want[key] = min(dist, want.get(key, np.inf))
+    for k in (2, 20):
+        got = embedding._met(links, members, k).to_pandas()
+        nearest = {a: sorted((d, b) for (s, b), d in want.items() if s == a)[:k] for a, _ in want}
+        assert {a: list(zip(g["dist"], g["dst"])) for a, g in got.groupby("src")} == nearest
