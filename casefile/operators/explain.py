@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.feature import OneHotEncoderModel, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casefile.functions.values import col
 from casefile.operators.features import Preprocessor, feature_names
@@ -22,9 +27,11 @@ from casefile.operators.models import ModelSpec
 from casefile.operators.ranking import order_hash
 from casefile.operators.sampling import assign_folds
 from casefile.operators.training import metric_value
-from casefile.session import durable
+from casefile.session import durable, scratch_folder
 
 BLOCK_ROWS = 5_000
+# The deepest trees whose decisions fit into one word.
+CODED_DEPTH = 6
 
 
 def model_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -162,6 +169,129 @@ def linear_attributions(model: PipelineModel, df: DataFrame, row_key: str) -> Da
     return rows.select(col(row_key), F.inline(parts))
 
 
+class CodedForest:
+    """A random forest whose trees are tables: a row is one word for each tree, with a bit for each of its decisions.
+
+    A decision looks at one slot and a slot at one input column, so words of two rows mix by bits as the rows mix by columns.
+    Trees are numbered like a heap, as deep as the deepest; what lies below an early leaf has its share.
+    """
+
+    def __init__(self, column: str, depth: int, splits: list[dict], shares: np.ndarray, owner: list[str]):
+        self.column, self.depth, self.splits, self.shares, self.owner = column, depth, splits, shares, owner
+        self.word = np.uint32 if depth < CODED_DEPTH else np.uint64
+
+    @classmethod
+    def of(cls, model: PipelineModel, df: DataFrame, features: Sequence[str], class_index: int) -> CodedForest | None:
+        """The last stage of `model`, or nothing if it is no forest of shallow trees behind the stages of `Preprocessor`."""
+        *before, forest = model.stages
+        kinds = (SQLTransformer, StringIndexerModel, OneHotEncoderModel, VectorAssembler)
+        if not isinstance(forest, RandomForestClassificationModel) or not all(isinstance(s, kinds) for s in before):
+            return None
+        depth = max(t.depth for t in forest.trees)
+        owner = _owners(PipelineModel(before).transform(df.limit(0)), forest.getFeaturesCol(), before[-1], features) if before else None
+        if owner is None or depth > CODED_DEPTH or not 0 <= class_index < forest.numClasses:
+            return None
+        path = scratch_folder(df.sparkSession)
+        forest.write().save(path)
+        trees: list[dict] = [{} for _ in forest.trees]
+        # 127 short rows a tree at most
+        for r in df.sparkSession.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect():
+            trees[r["treeID"]][r["id"]] = r
+        shares, splits = np.zeros((len(trees), 2**depth)), []
+        for tree, share in zip(trees, shares, strict=True):
+            decisions, open_ = {}, [(0, 0, 0)]
+            while open_:
+                node, place, level = open_.pop()
+                r = tree[node]
+                if r["leftChild"] < 0:
+                    stats = np.array(r["impurityStats"])
+                    if not stats.sum():
+                        return None
+                    wide = 2 ** (depth - level)
+                    first = (place + 1) * wide - 2**depth
+                    share[first : first + wide] = stats[class_index] / stats.sum()
+                    continue
+                decisions[place] = r["split"]
+                open_ += [(r["leftChild"], 2 * place + 1, level + 1), (r["rightChild"], 2 * place + 2, level + 1)]
+            splits.append({p: (d["featureIndex"], d["leftCategoriesOrThreshold"], d["numCategories"] >= 0) for p, d in decisions.items()})
+        return cls(forest.getFeaturesCol(), depth, splits, shares, owner)
+
+    def code(self, vectors: F.Column) -> F.Column:
+        splits, word = self.splits, self.word
+
+        @F.arrow_udf("binary")
+        def codes(parts: pa.Array) -> pa.Array:
+            x = parts.flatten().to_numpy(zero_copy_only=False).reshape(len(parts), -1).T
+            out = np.zeros((len(parts), len(splits)), word)
+            for tree, decisions in enumerate(splits):
+                for place, (slot, left, listed) in decisions.items():
+                    taken = np.isin(x[slot], left) if listed else x[slot] <= left[0]
+                    out[:, tree] |= taken.astype(word) << word(place)
+            offsets = np.arange(len(parts) + 1, dtype=np.int32) * (len(splits) * out.itemsize)
+            return pa.BinaryArray.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
+        return codes(vector_to_array(vectors))
+
+    def predict(self, words: np.ndarray) -> np.ndarray:
+        """The probability of the class for rows of words."""
+        at, one, two = np.zeros_like(words), self.word(1), self.word(2)
+        for _ in range(self.depth):
+            left = (words >> at) & one
+            at = at * two + two - left
+        at += (np.arange(len(self.splits)) * 2**self.depth - (2**self.depth - 1)).astype(self.word)
+        return self.shares.ravel()[at].sum(axis=1) / len(self.splits)
+
+    def changes(self, partner: DataFrame, features: Sequence[str], paths: list[list[str]]) -> DataFrame:
+        """(_key, parts): for every row and order, by how much each feature moves the probability on the way from the other row."""
+        place = {f: i for i, f in enumerate(features)}
+        trees, word = len(self.splits), self.word
+        masks = {}
+        for f in features:
+            own = [sum(1 << p for p, (slot, _, _) in decisions.items() if self.owner[slot] == f) for decisions in self.splits]
+            masks[f] = np.array(own, word)
+
+        def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                # a word of each tree, row by row
+                own, other = (np.frombuffer(b"".join(batch.column(i).to_pylist()), word).reshape(-1, trees) for i in (2, 3))
+                copy = batch.column(1).to_numpy()
+                parts = np.zeros((len(copy), len(features)))
+                for number in np.unique(copy):
+                    rows = np.flatnonzero(copy == number)
+                    mixed, mine = other[rows], own[rows]
+                    last = self.predict(mixed)
+                    for f in paths[number - 1]:
+                        if masks[f].any():
+                            mixed = (mine & masks[f]) | (mixed & ~masks[f])
+                            now = self.predict(mixed)
+                            parts[rows, place[f]] = now - last
+                            last = now
+                offsets = np.arange(len(copy) + 1, dtype=np.int32) * len(features)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, parts.ravel())], names=["_key", "parts"])
+
+        rows = partner.select(F.col("_row._key").alias("_key"), "_copy", F.col("_row._code").alias("own"), F.col("_other._code").alias("other"))
+        return rows.mapInArrow(moved, T.StructType([rows.schema["_key"], T.StructField("parts", T.ArrayType(T.DoubleType()))]))
+
+
+def _owners(rows: DataFrame, column: str, assembler, features: Sequence[str]) -> list[str] | None:
+    """The feature that each slot of `Preprocessor`'s vectors comes from, or nothing if that is not known of all."""
+    known = rows.schema[column].metadata.get("ml_attr", {})
+    slots = sorted((a for g in known.get("attrs", {}).values() for a in g), key=lambda a: a["idx"])
+    if not isinstance(assembler, VectorAssembler) or not slots or len(slots) != known.get("num_attrs"):
+        return None
+    # kind and number, which no two inputs share, stand before the name
+    named = {re.match(r"(num|hot)\d+_", c).group(): c for c in assembler.getInputCols() if re.match(r"(num|hot)\d+_", c)}
+    owner = []
+    for slot in slots:
+        kind = re.match(r"(num|hot)\d+_", slot.get("name", ""))
+        source = named.get(kind.group(), "")[kind.end() :] if kind else ""
+        fitting = [f for f in features if re.sub(r"[.`]", "_", f) == source]
+        if len(fitting) != 1:
+            return None
+        owner.append(fitting[0])
+    return owner
+
+
 def sampled_attributions(
     model: PipelineModel, df: DataFrame, features: Sequence[str], row_key: str, orders: int = 8, class_index: int = 1,
     seed: int = 42, block_rows: int = BLOCK_ROWS,
@@ -171,7 +301,8 @@ def sampled_attributions(
 
     For each of several random feature orders a row turns, feature by feature, into
     another random row; the changes in the class probability are its parts. They add
-    up to the prediction less the mean prediction of the partners.
+    up to the prediction less the mean prediction of the partners. Forests of shallow trees
+    prepare a row once and carry its decisions; other models predict every mixed row.
     """
     rng = random.Random(seed)
     paths = []
@@ -180,6 +311,14 @@ def sampled_attributions(
         rng.shuffle(order)
         paths.append(order)
     needed = df.select(col(row_key), *[col(f) for f in features])
+    coded = CodedForest.of(model, needed, features, class_index)
+    if coded is not None:
+        rows = PipelineModel(model.stages[:-1]).transform(needed).select(col(row_key).alias("_key"), coded.code(F.col(coded.column)).alias("_code"))
+        partner = _with_partner(rows, "_key", orders, seed, needed.count(), block_rows)
+        parts = coded.changes(partner, features, paths)
+        sums = parts.groupBy("_key").agg(*[F.sum(F.get("parts", i)).alias(f"s{i}") for i in range(len(features))])
+        found = F.array(*[F.struct(F.lit(f).alias("feature"), (F.col(f"s{i}") / orders).alias("attribution")) for i, f in enumerate(features)])
+        return sums.select(F.col("_key").alias(row_key), F.inline(found))
     partner = _with_partner(needed, row_key, orders, seed, needed.count(), block_rows)
 
     def hybrid(path: list[str], k: int) -> F.Column:

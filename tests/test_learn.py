@@ -324,3 +324,25 @@ def test_partners_travel_without_key_and_are_a_permutation(spark):
     assert set(rows.columns) == {"_row", "_copy", "_other"}
     found = rows.groupBy("_copy").agg(F.countDistinct("_row.a").alias("n"), F.countDistinct("_other.a").alias("m")).collect()
     assert [(r.n, r.m) for r in found] == [(300, 300)] * 2
+
+
+@pytest.mark.parametrize("depth", [2, 6, 7])
+def test_forests_attribute_without_scoring_mixed_rows(spark, monkeypatch, depth):
+    """Decisions of two rows, mixed by bits, give what the model says of mixed rows; deeper trees are asked row by row."""
+    rng = np.random.default_rng(depth)
+    frame = pd.DataFrame({"id": [f"r{i % 190}" for i in range(200)], "a.b": rng.normal(size=200), "b": rng.normal(size=200), "kind": rng.choice(list("xyz"), 200)})
+    frame.loc[::17, "b"] = None
+    frame["label"] = ((frame["a.b"] + (frame["kind"] == "x") + rng.normal(size=200) * 0.4) > 0.3).astype(float)
+    df = durable(spark.createDataFrame(frame).withColumn("weight", F.lit(1.0)))
+    spec = get_model_and_param_space("rf", 2)
+    preprocessor = features.build_preprocessor(df, ["id", "label", "weight"])
+    model = fit_pipeline(df, preprocessor, spec, {"n_estimators": 5, "max_depth": depth})
+    names = ["a.b", "b", "kind"]
+    coded = explain.CodedForest.of(model, df, names, 1)
+    assert (coded is None) == (max(t.depth for t in model.stages[-1].trees) > 6)
+    got = explain.sampled_attributions(model, df, names, "id", orders=3, block_rows=60).toPandas()
+    monkeypatch.setattr(explain.CodedForest, "of", lambda *a: None)
+    want = explain.sampled_attributions(model, df, names, "id", orders=3, block_rows=60).toPandas()
+    assert len(got) == 190 * 3 and list(got.columns) == list(want.columns) == ["id", "feature", "attribution"]
+    both = got.merge(want, on=["id", "feature"])
+    assert len(both) == len(got) and np.allclose(both["attribution_x"], both["attribution_y"], atol=1e-12)
