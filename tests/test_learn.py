@@ -346,3 +346,32 @@ def test_forests_attribute_without_scoring_mixed_rows(spark, monkeypatch, depth)
     assert len(got) == 190 * 3 and list(got.columns) == list(want.columns) == ["id", "feature", "attribution"]
     both = got.merge(want, on=["id", "feature"])
     assert len(both) == len(got) and np.allclose(both["attribution_x"], both["attribution_y"], atol=1e-12)
+
+
+def test_training_rows_are_made_once_and_dealt_out_for_the_model_only(spark, monkeypatch):
+    from casefile.catalog import learn
+
+    folder = scratch_folder(spark)
+    line = "id AS l_orderkey, 1 AS l_linenumber, id % 7 AS l_partkey, 3 AS l_suppkey, cast(id % 50 AS double) AS l_quantity, cast(id % 91 AS double) AS l_extendedprice"
+    more = "cast(id % 11 AS double) / 100 AS l_discount, cast(id % 9 AS double) / 100 AS l_tax, substr('ANR', cast(id % 3 AS int) + 1, 1) AS l_returnflag"
+    spark.sql(f"SELECT {line}, {more} FROM range(500)").write.parquet(f"{folder}/lineitem.parquet")
+    made, seen, stored = [], {}, learn.stored
+
+    def noted(df):
+        made.append("md5" in df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df)
+
+    def fitted(df, preprocessor, spec, params, dealt=None):
+        seen.update(df=df, dealt=dealt, model=fit_pipeline(df, preprocessor, spec, params, dealt))
+        return seen["model"]
+
+    monkeypatch.setattr(learn, "stored", noted)
+    monkeypatch.setattr(learn, "spread", lambda df, rows=None: df.repartition(7) if rows else df)
+    monkeypatch.setattr(learn, "fit_pipeline", fitted)
+    model, test = learn._fit(spark, folder, "logreg", {"C": 1.0})
+    assert made[0] and seen["dealt"].rdd.getNumPartitions() == 7 != seen["df"].rdd.getNumPartitions()
+    assert seen["df"].exceptAll(seen["dealt"]).count() == seen["dealt"].exceptAll(seen["df"]).count() == 0
+    assert seen["df"].count() + test.count() == 500 and test.count() == model.transform(test).count()
+    # what the preprocessor reads has no exchange and does not make the rows again
+    plan = seen["df"]._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan and "md5" not in plan
